@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import demand_label, map_lookup, reverse_lookup
+from .ids import rank_within
 
 
 def demand_summary(sales: DataFrame) -> DataFrame:
@@ -33,11 +34,14 @@ def dept_products(summary: DataFrame, dept_id: str | None = None, top: int | Non
     Ties are broken by ``item_id``; ``rank`` is 1-based within the department.
     """
     df = summary if dept_id is None else summary.filter(F.col("dept_id") == F.lit(dept_id))
-    w = Window.partitionBy("dept_id").orderBy(F.col("avg_daily_demand").desc_nulls_last(),
-                                              F.col("item_id"))
-    df = df.withColumn("rank", F.row_number().over(w))
     if top:
-        df = df.filter(F.col("rank") <= top)
+        # top-k: planned as a per-group limit before the exchange
+        w = Window.partitionBy("dept_id").orderBy(F.col("avg_daily_demand").desc_nulls_last(),
+                                                  F.col("item_id"))
+        df = df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    else:
+        # full ranking: a large department is split by value range first
+        df = rank_within(df, "dept_id", "avg_daily_demand", "item_id")
     if with_label:
         df = df.withColumn("label", demand_label("item_id", "avg_daily_demand"))
     return df

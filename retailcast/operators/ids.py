@@ -31,3 +31,34 @@ def dense_ids(df: DataFrame, bucket_cols: Sequence[str], within_cols: Sequence[s
     return (numbered.join(offsets, bucket_cols)
             .withColumn(name, (base + F.col("_off") + F.col("_rn")).cast("int"))
             .drop("_rn", "_off"))
+
+
+def rank_within(df: DataFrame, group_col: str, value_col: str, tie_col: str,
+                bins: int = 1024, name: str = "rank") -> DataFrame:
+    """1-based position inside each group, by ``value_col`` descending (NULL
+    last) then ``tie_col`` ascending -- without a whole group in one task.
+
+    Per group, approximate quantiles of the value split the group into up to
+    ``bins`` value ranges (the bin is monotone in the value, equal values share
+    a bin, so the result is exact; the quantiles only balance the work).  Rows
+    are numbered inside ``(group, bin)`` and each bin gets an offset from a
+    running sum over the per-bin counts (at most ``bins`` rows per group).
+    """
+    pct = [i / bins for i in range(1, bins)]
+    bounds = df.groupBy(group_col).agg(F.percentile_approx(value_col, pct, 10 * bins).alias("_b"))
+    v = F.col(value_col)
+    binned = (df.join(bounds, group_col)
+              .withColumn("_bin", F.when(v.isNull(), F.lit(bins + 1))
+                          .otherwise(F.size(F.filter("_b", lambda b: b > v))))
+              .drop("_b"))
+    counts = binned.groupBy(group_col, "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select(
+        group_col, "_bin",
+        F.coalesce(F.sum("_cnt").over(Window.partitionBy(group_col).orderBy("_bin")
+                                      .rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"))
+    numbered = binned.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(group_col, "_bin").orderBy(v.desc_nulls_last(), F.col(tie_col))))
+    return (numbered.join(offsets, [group_col, "_bin"])
+            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("int"))
+            .drop("_bin", "_rn", "_off"))

@@ -1 +1,6 @@
+"""Streaming surface: none.
 
+The planning tool this engine mirrors reads every input as a full batch (CSV or
+Parquet files, saved-run tables) and has no watermark, window, state or late
+data anywhere, so no Structured Streaming operator is built here.
+"""
