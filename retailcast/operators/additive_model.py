@@ -180,27 +180,29 @@ def map_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
               backtest_extra_rows: int = K.BACKTEST_EXTRA_ROWS,
               band_z: float = K.BAND_Z) -> DataFrame:
     """Forecast frame (same columns as ``seasonal_frame``) from the fitted model."""
-    w = Window.partitionBy(*SERIES)
+    order = Window.partitionBy(*SERIES).orderBy("ds")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cols = set(model_input.columns)
     price = F.col("sell_price") if "sell_price" in cols else F.lit(None).cast("double")
-    base = (model_input.select(*SERIES, "ds", F.col("y").cast("double").alias("y"),
-                               price.alias("sell_price"))
-            .repartition(*SERIES))
-    evaluable = F.col("n_rows") >= holdout + backtest_extra_rows
+    base = model_input.select(*SERIES, "ds", F.col("y").cast("double").alias("y"),
+                              price.alias("sell_price"))
     staged = (base
-              .withColumn("n_rows", F.count(F.lit(1)).over(w))
-              .withColumn("last_ds", F.max("ds").over(w))
-              .withColumn("avg_price", F.avg("sell_price").over(w))
-              .withColumn("rn_desc", F.row_number().over(w.orderBy(F.col("ds").desc())))
-              .filter(F.col("n_rows") >= min_rows)
-              .withColumn("evaluable", evaluable)
-              .withColumn("is_train", (F.col("rn_desc") > holdout) & evaluable))
-    staged = staged.withColumn("last_train_ds", F.max(F.when(F.col("is_train"), F.col("ds"))).over(w))
+              .withColumns({"n_rows": F.count(F.lit(1)).over(whole),
+                            "last_ds": F.max("ds").over(whole),
+                            "avg_price": F.avg("sell_price").over(whole),
+                            "_rn": F.row_number().over(order)})
+              .withColumn("rn_desc", F.col("n_rows") - F.col("_rn") + 1)
+              .filter(F.col("n_rows") >= min_rows))
+    staged = staged.withColumns({
+        "evaluable": F.col("n_rows") >= holdout + backtest_extra_rows,
+        "is_train": (F.col("rn_desc") > holdout) & (F.col("n_rows") >= holdout + backtest_extra_rows)})
+    staged = staged.withColumn("last_train_ds",
+                               F.max(F.when(F.col("is_train"), F.col("ds"))).over(whole))
     models = fit_models(staged)
     ext = extend_with_horizon(staged, horizon, F.col("rn_desc") == 1)
     hist = ~F.col("is_future")
-    fr = (ext.withColumn("y", F.when(hist, F.col("y")))
-          .withColumn("is_test", hist & (F.col("rn_desc") <= holdout))
+    fr = (ext.withColumns({"y": F.when(hist, F.col("y")),
+                           "is_test": hist & (F.col("rn_desc") <= holdout)})
           .join(models, SERIES))
     full = _predict(F.col("full"), F.col("ds"))
     tr = _predict(F.col("train"), F.col("ds"))

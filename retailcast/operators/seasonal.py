@@ -8,11 +8,12 @@ in training contribute 0.
 
 Plan shape: the input is hash-partitioned once by series.  Future days are
 generated next to the last row of each series (no shuffle), with ``y = NULL``,
-and every coefficient is a window aggregate.  Windows keyed by
-``(series, dow)`` or ``(series, month)`` are satisfied by the series
-partitioning, so the whole model is one exchange followed by sorts and
-windows.  Aggregates skip NULL, so future rows pick up the coefficients
-without a join.
+and every coefficient is a window aggregate over the whole series, all with
+the same ``(series, ds)`` order: weekday and month effects are conditional
+means over the series window, not windows keyed by weekday or month, so the
+frame is never re-sorted by them.  The whole model is one exchange, two sorts
+and a chain of window passes.  Aggregates skip NULL, so future rows pick up
+the coefficients without a join.
 
 The same pass fits a second model on the training rows only (all but the last
 ``holdout`` rows) for the backtest: its target ``y_tr`` is NULL on test rows.
@@ -20,7 +21,7 @@ The same pass fits a second model on the training rows only (all but the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -29,6 +30,17 @@ from .series import extend_with_horizon
 
 
 
+def _effects(col: str, key: str, n: int, w: Window) -> Column:
+    """Per-series mean of ``col`` for the current row's ``key`` (1..n).
+
+    One conditional mean per key value over the series window, then a pick by
+    the row's key: the same numbers as a window keyed by ``(series, key)`` but
+    without re-sorting the frame by that key.
+    """
+    means = F.array(*[F.avg(F.when(F.col(key) == k, F.col(col))).over(w) for k in range(1, n + 1)])
+    return F.coalesce(F.element_at(means, F.col(key)), F.lit(0.0))
+
+
 def seasonal_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
                    holdout: int = K.HOLDOUT_DAYS,
                    min_rows: int = K.MIN_HISTORY_ROWS,
@@ -38,55 +50,61 @@ def seasonal_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
 
     ``model_input``: ``item_id, store_id, ds, y`` and optionally ``sell_price``.
     Series with fewer than ``min_rows`` rows get no rows at all (guard F9).
+
+    Every window shares the order ``(series, ds)`` (whole-series frames for the
+    aggregates), so the frame is sorted twice in total: once for the history
+    statistics and once after the future days are generated.
     """
-    _W = Window.partitionBy(*SERIES)
-    _W_DOW = Window.partitionBy(*SERIES, "dow")
-    _W_MONTH = Window.partitionBy(*SERIES, "month")
+    order = Window.partitionBy(*SERIES).orderBy("ds")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cols = set(model_input.columns)
     price = F.col("sell_price") if "sell_price" in cols else F.lit(None).cast("double")
-    base = (model_input.select(*SERIES, "ds", F.col("y").cast("double").alias("y"),
-                               price.alias("sell_price"))
-            .repartition(*SERIES))
-    w_desc = _W.orderBy(F.col("ds").desc())
+    base = model_input.select(*SERIES, "ds", F.col("y").cast("double").alias("y"),
+                              price.alias("sell_price"))
     staged = (base
-              .withColumn("n_rows", F.count(F.lit(1)).over(_W))
-              .withColumn("first_ds", F.min("ds").over(_W))
-              .withColumn("last_ds", F.max("ds").over(_W))
-              .withColumn("rn_desc", F.row_number().over(w_desc))
+              .withColumns({"n_rows": F.count(F.lit(1)).over(whole),
+                            "first_ds": F.min("ds").over(whole),
+                            "last_ds": F.max("ds").over(whole),
+                            "_rn": F.row_number().over(order)})
+              .withColumn("rn_desc", F.col("n_rows") - F.col("_rn") + 1)
               .filter(F.col("n_rows") >= min_rows))
     ext = extend_with_horizon(staged, horizon, F.col("rn_desc") == 1)
     hist = ~F.col("is_future")
     evaluable = F.col("n_rows") >= holdout + backtest_extra_rows
     is_test = hist & (F.col("rn_desc") <= holdout)
     train = hist & (F.col("rn_desc") > holdout) & evaluable
-    fr = (ext
-          .withColumn("y", F.when(hist, F.col("y")))
-          .withColumn("sell_price", F.when(hist, F.col("sell_price")))
-          .withColumn("is_test", is_test)
-          .withColumn("evaluable", evaluable)
-          .withColumn("y_tr", F.when(train, F.col("y")))
-          .withColumn("t", F.date_diff("ds", "first_ds").cast("double"))
-          .withColumn("dow", F.dayofweek("ds"))
-          .withColumn("month", F.month("ds")))
-    # Stage 1: trend lines (full and train), price mean, last training day.
-    fr = (fr.withColumn("a", F.regr_intercept("y", "t").over(_W))
-            .withColumn("b", F.regr_slope("y", "t").over(_W))
-            .withColumn("a_tr", F.regr_intercept("y_tr", "t").over(_W))
-            .withColumn("b_tr", F.regr_slope("y_tr", "t").over(_W))
-            .withColumn("avg_price", F.avg("sell_price").over(_W))
-            .withColumn("last_train_ds", F.max(F.when(train, F.col("ds"))).over(_W)))
-    fr = (fr.withColumn("trend", F.col("a") + F.col("b") * F.col("t"))
-            .withColumn("trend_tr", F.col("a_tr") + F.col("b_tr") * F.col("t"))
-            .withColumn("e", F.col("y") - F.col("trend"))
-            .withColumn("e_tr", F.col("y_tr") - F.col("trend_tr")))
-    # Stage 2: weekday effect; stage 3: month effect of what is left.
-    fr = (fr.withColumn("weekly", F.coalesce(F.avg("e").over(_W_DOW), F.lit(0.0)))
-            .withColumn("weekly_tr", F.coalesce(F.avg("e_tr").over(_W_DOW), F.lit(0.0))))
-    fr = (fr.withColumn("yearly", F.coalesce(F.avg(F.col("e") - F.col("weekly")).over(_W_MONTH), F.lit(0.0)))
-            .withColumn("yearly_tr", F.coalesce(F.avg(F.col("e_tr") - F.col("weekly_tr")).over(_W_MONTH), F.lit(0.0))))
-    # Stage 4: residual spread -> band.
-    fr = (fr.withColumn("sd", F.stddev_samp(F.col("e") - F.col("weekly") - F.col("yearly")).over(_W))
-            .withColumn("sd_tr", F.stddev_samp(F.col("e_tr") - F.col("weekly_tr") - F.col("yearly_tr")).over(_W)))
+    fr = ext.withColumns({
+        "y": F.when(hist, F.col("y")),
+        "sell_price": F.when(hist, F.col("sell_price")),
+        "is_test": is_test,
+        "evaluable": evaluable,
+        "is_train": train,
+        "t": F.date_diff("ds", "first_ds").cast("double"),
+        "dow": F.dayofweek("ds"),
+        "month": F.month("ds")})
+    fr = fr.withColumn("y_tr", F.when(F.col("is_train"), F.col("y")))
+    # Pass 1: trend lines (full and train), price mean, last training day.
+    fr = fr.withColumns({
+        "a": F.regr_intercept("y", "t").over(whole),
+        "b": F.regr_slope("y", "t").over(whole),
+        "a_tr": F.regr_intercept("y_tr", "t").over(whole),
+        "b_tr": F.regr_slope("y_tr", "t").over(whole),
+        "avg_price": F.avg("sell_price").over(whole),
+        "last_train_ds": F.max(F.when(F.col("is_train"), F.col("ds"))).over(whole)})
+    trend = F.col("a") + F.col("b") * F.col("t")
+    trend_tr = F.col("a_tr") + F.col("b_tr") * F.col("t")
+    fr = fr.withColumns({"trend": trend, "trend_tr": trend_tr,
+                         "e": F.col("y") - trend, "e_tr": F.col("y_tr") - trend_tr})
+    # Pass 2: weekday effect; pass 3: month effect of what is left.
+    fr = fr.withColumns({"weekly": _effects("e", "dow", 7, whole),
+                         "weekly_tr": _effects("e_tr", "dow", 7, whole)})
+    fr = fr.withColumns({"_r": F.col("e") - F.col("weekly"),
+                         "_r_tr": F.col("e_tr") - F.col("weekly_tr")})
+    fr = fr.withColumns({"yearly": _effects("_r", "month", 12, whole),
+                         "yearly_tr": _effects("_r_tr", "month", 12, whole)})
+    # Pass 4: residual spread -> band.
+    fr = fr.withColumns({"sd": F.stddev_samp(F.col("_r") - F.col("yearly")).over(whole),
+                         "sd_tr": F.stddev_samp(F.col("_r_tr") - F.col("yearly_tr")).over(whole)})
     z = F.lit(band_z)
     yhat = F.col("trend") + F.col("weekly") + F.col("yearly")
     yhat_tr = F.col("trend_tr") + F.col("weekly_tr") + F.col("yearly_tr")

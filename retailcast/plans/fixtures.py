@@ -27,16 +27,42 @@ FORECAST = "forecast"
 CATALOG = "catalog"
 
 
+# FIXED VALUES: the columns used from the driver's tables, with their types.
+TABLE_SCHEMAS = {
+    "lineitem": "l_partkey bigint, l_suppkey bigint, l_quantity double, "
+                "l_extendedprice double, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_brand string, p_type string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+_READS: dict = {}
+_BOUNDS: dict = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table read with a fixed schema (no footer inference), one reader
+    per session and path."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
+    return _table(spark, sf_dir, name).select(*cols)
 
 
 def ship_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
-    """First and last ship day as scalar subqueries (no driver round trip)."""
-    li = read(spark, sf_dir, "lineitem", ["l_shipdate"])
-    day = F.to_date("l_shipdate")
-    b = li.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
-    return b["lo"], b["hi"]
+    """First and last ship day as one scalar subquery (no driver round trip)."""
+    key = (id(spark), sf_dir)
+    if key not in _BOUNDS:
+        li = read(spark, sf_dir, "lineitem", ["l_shipdate"])
+        day = F.to_date("l_shipdate")
+        b = li.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+        _BOUNDS[key] = (b["lo"], b["hi"])
+    return _BOUNDS[key]
 
 
 def n_calendar_days(spark: SparkSession, sf_dir: str) -> int:
@@ -134,6 +160,37 @@ def sales_long(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None)
         "sales")
 
 
+def priced_daily(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """The curated forecast-grain table in one series-partitioned chain.
+
+    Same rows and values as ``etl.clean_long(sales_long, calendar, sell_prices)``
+    (dense days, weekly open-line price, unpriced weeks dropped), planned with a
+    single exchange after the line-item rollup: the first row of each series
+    emits the calendar, ``groupBy(series, day)`` fills it, and the weekly price
+    is a window over ``(series, week)`` -- all reuse the series partitioning, so
+    there is no price table to join back and the rollup is computed once.
+    Columns: ``item_id, store_id, date, wm_yr_wk, sales, sell_price``.
+    """
+    daily = daily if daily is not None else daily_rollup(spark, sf_dir)
+    lo, hi = ship_bounds(spark, sf_dir)
+    first = F.row_number().over(Window.partitionBy(*SERIES).orderBy("ds")) == 1
+    days = F.when(F.col("_first"), F.sequence(lo, hi)).otherwise(F.array(F.col("_d0")))
+    own = F.col("ds") == F.col("_d0")
+    dense = (daily.select(*SERIES, F.col("ds").alias("_d0"), "units", "px_sum", "px_n",
+                          first.alias("_first"))
+             .select(*SERIES, "_d0", "units", "px_sum", "px_n", F.explode(days).alias("ds"))
+             .groupBy(*SERIES, "ds")
+             .agg(F.sum(F.when(own, F.col("units")).otherwise(F.lit(0.0))).cast("bigint").alias("sales"),
+                  F.sum(F.when(own, F.col("px_sum"))).alias("px_sum"),
+                  F.sum(F.when(own, F.col("px_n")).otherwise(F.lit(0))).alias("px_n")))
+    week = Window.partitionBy(*SERIES, "wm_yr_wk")
+    n_open = F.sum("px_n").over(week)
+    priced = (dense.withColumn("wm_yr_wk", _day_fields(F.col("ds"), lo)[1])
+              .withColumn("sell_price", F.when(n_open > 0, F.sum("px_sum").over(week) / n_open)))
+    return (priced.filter(F.col("sell_price").isNotNull())
+            .select(*SERIES, F.col("ds").alias("date"), "wm_yr_wk", "sales", "sell_price"))
+
+
 def sell_prices(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     """Weekly price per (store, item): mean unit price of open lines.
 

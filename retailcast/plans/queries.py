@@ -59,7 +59,10 @@ class Inputs:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return fx.daily_rollup(self.spark, self.sf)
+        """The line-item rollup, persisted: it is small (series x days) and read
+        by several branches with different columns (sales, prices), which would
+        otherwise each scan and join the line items again."""
+        return fx.daily_rollup(self.spark, self.sf).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def long(self) -> DataFrame:
@@ -83,7 +86,8 @@ class Inputs:
 
     @cached_property
     def model_input(self) -> DataFrame:
-        return to_model_input(self.clean, extra=["sell_price"])
+        # Same rows as ``to_model_input(self.clean)``; one exchange after the rollup.
+        return to_model_input(fx.priced_daily(self.spark, self.sf, self.daily), extra=["sell_price"])
 
     @cached_property
     def wide(self) -> DataFrame:
