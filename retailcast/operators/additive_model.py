@@ -54,7 +54,7 @@ YEAR_PERIOD, YEAR_ORDER = 365.25, 10
 WEEK_PERIOD, WEEK_ORDER = 7.0, 3
 IRLS_ITERATIONS = 20
 
-_MODEL_FIELDS = ("ds0 date, span double, y_scale double, k double, m double, "
+_MODEL_FIELDS = ("ds0 date, span double, y_scale double, k double, m double, n_cp int, "
                  "cp array<double>, delta array<double>, beta_year array<double>, "
                  "beta_week array<double>, sigma double, lam double")
 MODEL_SCHEMA = (f"item_id string, store_id string, full struct<{_MODEL_FIELDS}>, "
@@ -77,7 +77,8 @@ def fit_series(days: np.ndarray, y: np.ndarray) -> dict:
     span = float(days[-1] - d0)
     y_scale = float(np.max(np.abs(y))) if n else 0.0
     flat = {"ds0": int(d0), "span": max(span, 1.0), "y_scale": y_scale, "k": 0.0,
-            "m": 1.0 if y_scale > 0 else 0.0, "cp": [], "delta": [],
+            "m": 1.0 if y_scale > 0 else 0.0, "n_cp": 0,
+            "cp": [0.0] * N_CHANGEPOINTS, "delta": [0.0] * N_CHANGEPOINTS,
             "beta_year": [0.0] * (2 * YEAR_ORDER), "beta_week": [0.0] * (2 * WEEK_ORDER),
             "sigma": 0.0, "lam": 0.0}
     if n < 2 or span <= 0 or y_scale == 0.0 or float(np.ptp(y)) == 0.0:
@@ -113,9 +114,10 @@ def fit_series(days: np.ndarray, y: np.ndarray) -> dict:
         resid = ys - X @ theta
         sigma2 = max(float(np.mean(resid ** 2)), 1e-10)
     ny = 2 * YEAR_ORDER
+    pad = [0.0] * (N_CHANGEPOINTS - n_cp)  # padded: delta 0 adds nothing
     return {"ds0": int(d0), "span": span, "y_scale": y_scale, "k": float(theta[0]),
-            "m": float(theta[1]), "cp": [float(c) for c in cps],
-            "delta": [float(v) for v in delta],
+            "m": float(theta[1]), "n_cp": n_cp, "cp": [float(c) for c in cps] + pad,
+            "delta": [float(v) for v in delta] + pad,
             "beta_year": [float(v) for v in theta[2 + n_cp:2 + n_cp + ny]],
             "beta_week": [float(v) for v in theta[2 + n_cp + ny:]],
             "sigma": math.sqrt(sigma2),
@@ -152,24 +154,28 @@ def fit_models(history: DataFrame) -> DataFrame:
 
 
 def _predict(m: Column, ds: Column) -> dict[str, Column]:
-    """Native prediction of one model struct at date ``ds``."""
+    """Native prediction of one model struct at date ``ds``.
+
+    A fixed number of plain arithmetic terms (25 hinges, 20 + 6 Fourier terms)
+    rather than higher-order functions, so whole-stage codegen compiles it.
+    """
     day = F.unix_date(ds).cast("double")
     t = (day - F.unix_date(m["ds0"]).cast("double")) / m["span"]
-    hinge = F.aggregate(F.zip_with(m["cp"], m["delta"], lambda s, d: d * F.greatest(t - s, F.lit(0.0))),
-                        F.lit(0.0), lambda acc, x: acc + x)
+    cp, delta = m["cp"], m["delta"]
+    hinge = sum((delta[j] * F.greatest(t - cp[j], F.lit(0.0)) for j in range(1, N_CHANGEPOINTS)),
+                delta[0] * F.greatest(t - cp[0], F.lit(0.0)))
     trend = (m["k"] * t + m["m"] + hinge) * m["y_scale"]
 
-    def seasonal(beta: Column, period: float) -> Column:
-        pos = F.sequence(F.lit(0), F.size(beta) - 1)
-        return F.aggregate(
-            pos, F.lit(0.0),
-            lambda acc, j: acc + beta[j] * F.when(j % 2 == 0, F.sin(F.lit(2 * math.pi / period)
-                                                                  * (F.floor(j / 2) + 1) * day))
-            .otherwise(F.cos(F.lit(2 * math.pi / period) * (F.floor(j / 2) + 1) * day))) * m["y_scale"]
-
-    yearly = seasonal(m["beta_year"], YEAR_PERIOD)
-    weekly = seasonal(m["beta_week"], WEEK_PERIOD)
-    extra = F.when(t > 1, F.lit(2.0 / 3.0) * F.size(m["cp"]) * m["lam"] * m["lam"] * F.pow(t - 1, 3)) \
+    def seasonal(beta: Column, period: float, order: int) -> Column:
+        terms = []
+        for i in range(1, order + 1):
+            w = F.lit(2.0 * math.pi * i / period) * day
+            terms.append(beta[2 * i - 2] * F.sin(w) + beta[2 * i - 1] * F.cos(w))
+        return sum(terms[1:], terms[0]) * m["y_scale"]
+
+    yearly = seasonal(m["beta_year"], YEAR_PERIOD, YEAR_ORDER)
+    weekly = seasonal(m["beta_week"], WEEK_PERIOD, WEEK_ORDER)
+    extra = F.when(t > 1, F.lit(2.0 / 3.0) * m["n_cp"] * m["lam"] * m["lam"] * F.pow(t - 1, 3)) \
         .otherwise(F.lit(0.0))
     sd = F.sqrt(m["sigma"] * m["sigma"] + extra) * m["y_scale"]
     return {"trend": trend, "yearly": yearly, "weekly": weekly, "sd": sd}

@@ -34,7 +34,7 @@ def dense_ids(df: DataFrame, bucket_cols: Sequence[str], within_cols: Sequence[s
 
 
 def rank_within(df: DataFrame, group_col: str, value_col: str, tie_col: str,
-                bins: int = 1024, name: str = "rank") -> DataFrame:
+                bins: int = 256, name: str = "rank") -> DataFrame:
     """1-based position inside each group, by ``value_col`` descending (NULL
     last) then ``tie_col`` ascending -- without a whole group in one task.
 

@@ -59,3 +59,8 @@ def tail(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 def shape(df: DataFrame) -> tuple[int, int]:
     """``(rows, columns)`` -- an action; for notebooks and tests."""
     return df.count(), len(df.columns)
+
+
+def first_row(df: DataFrame, order_by: Sequence) -> DataFrame:
+    """The first matching row under an explicit order (O7), as a one-row frame."""
+    return df.orderBy(*order_by).limit(1)

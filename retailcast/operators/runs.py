@@ -42,7 +42,7 @@ def build_runs(policy: DataFrame, metrics: DataFrame, run_at: _dt.datetime | Col
     batch; with ``per_run_minutes`` each run is stamped ``run_at + run_id``
     minutes (a deterministic stand-in for saving runs one after another).
     """
-    joined = policy.join(metrics.select(*SERIES, "mape", "rmse"), SERIES, "left")
+    joined = policy.drop("mape", "rmse").join(metrics.select(*SERIES, "mape", "rmse"), SERIES, "left")
     numbered = dense_ids(joined, ["param_set", "item_id"], ["store_id"], start, "run_id")
     ts = run_at if isinstance(run_at, Column) else F.lit(run_at).cast("timestamp_ntz")
     if per_run_minutes:
