@@ -17,8 +17,9 @@ Plan shape: the only Python step is the grouped fit -- ``applyInPandas`` over
 the series-partitioned history (one group = one series, bounded by the number
 of days), which emits ONE small row per series with both the full-history and
 the training-only coefficients.  Prediction is native: the model row is joined
-back to the per-series spine and trend and seasonality are evaluated with
-higher-order functions over the coefficient arrays, so the forecast frame
+back to the per-series spine and trend and seasonality are evaluated as a fixed
+set of plain arithmetic terms over the coefficient arrays (whole-stage codegen,
+no interpreted lambdas; changepoint arrays are padded to 25), so the forecast frame
 has exactly the columns of ``seasonal.seasonal_frame`` and every downstream
 operator (policy, backtest, replay, runs) works on either model.
 
@@ -212,14 +213,19 @@ def map_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
           .join(models, SERIES))
     full = _predict(F.col("full"), F.col("ds"))
     tr = _predict(F.col("train"), F.col("ds"))
+    # Components once as columns; everything else refers to them.
+    fr = fr.withColumns({"trend": full["trend"], "weekly": full["weekly"],
+                         "yearly": full["yearly"], "_sd": full["sd"],
+                         "_trend_tr": tr["trend"], "_weekly_tr": tr["weekly"],
+                         "_yearly_tr": tr["yearly"], "_sd_tr": tr["sd"]})
+    fr = fr.withColumns({"yhat": F.col("trend") + F.col("weekly") + F.col("yearly"),
+                         "yhat_tr": F.col("_trend_tr") + F.col("_weekly_tr") + F.col("_yearly_tr")})
     z = F.lit(band_z)
-    yhat = full["trend"] + full["weekly"] + full["yearly"]
-    yhat_tr = tr["trend"] + tr["weekly"] + tr["yearly"]
     return fr.select(
         *SERIES, "ds", "is_future", "y", "n_rows", "last_ds", "rn_desc", "avg_price",
-        "is_test", "evaluable", "last_train_ds",
-        full["trend"].alias("trend"), full["weekly"].alias("weekly"), full["yearly"].alias("yearly"),
-        yhat.alias("yhat"), (yhat - z * full["sd"]).alias("yhat_lower"),
-        (yhat + z * full["sd"]).alias("yhat_upper"),
-        yhat_tr.alias("yhat_tr"), (yhat_tr - z * tr["sd"]).alias("yhat_tr_lower"),
-        (yhat_tr + z * tr["sd"]).alias("yhat_tr_upper"))
+        "is_test", "evaluable", "last_train_ds", "trend", "weekly", "yearly", "yhat",
+        (F.col("yhat") - z * F.col("_sd")).alias("yhat_lower"),
+        (F.col("yhat") + z * F.col("_sd")).alias("yhat_upper"),
+        "yhat_tr",
+        (F.col("yhat_tr") - z * F.col("_sd_tr")).alias("yhat_tr_lower"),
+        (F.col("yhat_tr") + z * F.col("_sd_tr")).alias("yhat_tr_upper"))
