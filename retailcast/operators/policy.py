@@ -1,6 +1,6 @@
 """Inventory policy (I1-I5, A3, A4, A7, A8) from a forecast frame.
 
-The frame (see ``seasonal.seasonal_frame`` or ``prophet_map.map_frame``) is
+The frame (see ``seasonal.seasonal_frame`` or ``additive_model.map_frame``) is
 already partitioned by series, so every per-series aggregate below is a
 ``groupBy`` that Spark plans without another exchange.
 """
@@ -102,7 +102,8 @@ def forecast_insights(frame: DataFrame,
                  F.avg("yhat_upper").alias("avg_upper")))
 
 
-def series_summary(frame: DataFrame, params: PolicyParams = PolicyParams(),
+def series_summary(frame: DataFrame,
+                   params: PolicyParams | Sequence[PolicyParams] = PolicyParams(),
                    holdout: int = K.HOLDOUT_DAYS) -> DataFrame:
     """Policy, forecast total and backtest metrics per series in ONE aggregation.
 

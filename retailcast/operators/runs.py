@@ -34,15 +34,21 @@ def next_run_id(runs: DataFrame) -> Column:
     return runs.select(F.coalesce(F.max("run_id"), F.lit(0))).scalar()
 
 
-def build_runs(policy: DataFrame, metrics: DataFrame, run_at: _dt.datetime | Column,
+def build_runs(policy: DataFrame, metrics: DataFrame | None, run_at: _dt.datetime | Column,
                start: Column | int = 0, per_run_minutes: bool = False) -> DataFrame:
     """Policy rows + backtest metrics -> run rows with dense ids.
 
-    Ids follow ``(param_set, item_id, store_id)``.  ``run_at`` is one literal per
-    batch; with ``per_run_minutes`` each run is stamped ``run_at + run_id``
-    minutes (a deterministic stand-in for saving runs one after another).
+    ``metrics`` may be None when ``policy`` already carries ``mape, rmse``
+    (``policy.series_summary``), which saves the join.  Ids follow
+    ``(param_set, item_id, store_id)``.  ``run_at`` is one literal per batch;
+    with ``per_run_minutes`` each run is stamped ``run_at + run_id`` minutes
+    (a deterministic stand-in for saving runs one after another).
     """
-    joined = policy.drop("mape", "rmse").join(metrics.select(*SERIES, "mape", "rmse"), SERIES, "left")
+    if metrics is None:
+        joined = policy
+    else:
+        joined = policy.drop("mape", "rmse").join(metrics.select(*SERIES, "mape", "rmse"),
+                                                  SERIES, "left")
     numbered = dense_ids(joined, ["param_set", "item_id"], ["store_id"], start, "run_id")
     ts = run_at if isinstance(run_at, Column) else F.lit(run_at).cast("timestamp_ntz")
     if per_run_minutes:

@@ -114,9 +114,8 @@ class Inputs:
 
     def runs(self) -> DataFrame:
         fr = self.frame(max(p.forecast_days for p in RUN_BATCHES))
-        pol = P.inventory_policy(fr, RUN_BATCHES)
-        met = E.backtest_metrics(fr)
-        return R.build_runs(pol, met, RUN_AT, 0, per_run_minutes=True)
+        summary = P.series_summary(fr, RUN_BATCHES)  # policy + metrics, one aggregation
+        return R.build_runs(summary, None, RUN_AT, 0, per_run_minutes=True)
 
     def daily_runs(self) -> DataFrame:
         fr = self.frame(max(p.forecast_days for p in RUN_BATCHES))
