@@ -45,9 +45,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table read with a fixed schema (no footer inference), one reader
     per session and path."""
     key = (id(spark), sf_dir, name)
-    if key not in _READS:
-        _READS[key] = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return _READS[key]
+    hit = _READS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet"))
+        _READS[key] = hit
+    return hit[1]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
@@ -57,12 +59,14 @@ def read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFr
 def ship_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     """First and last ship day as one scalar subquery (no driver round trip)."""
     key = (id(spark), sf_dir)
-    if key not in _BOUNDS:
+    hit = _BOUNDS.get(key)
+    if hit is None or hit[0] is not spark:
         li = read(spark, sf_dir, "lineitem", ["l_shipdate"])
         day = F.to_date("l_shipdate")
         b = li.select(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
-        _BOUNDS[key] = (b["lo"], b["hi"])
-    return _BOUNDS[key]
+        hit = (spark, b["lo"], b["hi"])
+        _BOUNDS[key] = hit
+    return hit[1], hit[2]
 
 
 def n_calendar_days(spark: SparkSession, sf_dir: str) -> int:
