@@ -94,3 +94,28 @@ def test_csv_sources_S1_and_parquet_S2_S3_S5(spark, tmp_dir):
     assert one.count() == 3
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "PushedFilters" in plan
+
+
+def test_melt_mixed_types_G9(spark):
+    wide = spark.createDataFrame([("a", "i", "d", "c", "s", "t", 1, 2)],
+                                 "id string, item_id string, dept_id string, cat_id string, "
+                                 "store_id string, state_id string, d_1 bigint, d_2 int")
+    long = melt(wide)
+    assert dict(long.dtypes)["sales"] == "int"
+    assert sorted(r.sales for r in long.collect()) == [1, 2]
+
+
+def test_curated_dates_roundtrip_G15(spark, tmp_dir):
+    import datetime as dt
+
+    import pandas as pd
+    wide, cal, prices = tiny_inputs(spark)
+    out = os.path.join(tmp_dir, "curated")
+    etl.write_curated(etl.build_sales_clean(wide, cal, prices), out)
+    back = files.read_curated(spark, out)
+    assert dict(back.dtypes)["date"] == "date"
+    # an external file with microsecond timestamps loads and casts to DATE
+    ext = os.path.join(tmp_dir, "ext.parquet")
+    pd.DataFrame({"ts": pd.to_datetime(["2016-01-01 00:00:00"]).astype("datetime64[us]")}).to_parquet(ext)
+    got = spark.read.parquet(ext).select(F.col("ts").cast("date").alias("d")).first().d
+    assert got == dt.date(2016, 1, 1)
