@@ -131,7 +131,8 @@ def clip(x: str) -> str:
 
 def params_cte(batches) -> str:
     rows = ", ".join(f"({i + 1}, {p.forecast_days}, {p.lead_time_days}, "
-                     f"{float(p.ordering_cost)!r}, {float(p.holding_cost)!r}, {float(p.z)!r})"
+                     f"CAST({float(p.ordering_cost)!r} AS DOUBLE), "
+                     f"CAST({float(p.holding_cost)!r} AS DOUBLE), CAST({float(p.z)!r} AS DOUBLE))"
                      for i, p in enumerate(batches))
     return f"""
 params(param_set, forecast_days, lead_time_days, ordering_cost, holding_cost, z) AS (
@@ -171,7 +172,7 @@ bt AS (
   FROM frame WHERE NOT is_future),
 bt_agg AS (
   SELECT item_id, store_id,
-         count_if(cmp) AS n_compared, count_if(cmp AND y > 0) AS n_nonzero,
+         cast(count_if(cmp) AS BIGINT) AS n_compared, count_if(cmp AND y > 0) AS n_nonzero,
          avg(CASE WHEN cmp AND y > 0 THEN abs(y - yhc) / y END) AS mape_raw,
          avg(CASE WHEN cmp THEN (y - yhc) * (y - yhc) END) AS mse
   FROM bt GROUP BY item_id, store_id),
@@ -248,8 +249,8 @@ def _sql() -> dict[str, str]:
 SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, cast(sales AS INTEGER) AS sales
 FROM sales_long"""
     q["sales_clean"] = w(base) + f"""
-SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales, date, wm_yr_wk,
-       {r('sell_price')} AS sell_price
+SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, cast(sales AS INTEGER) AS sales,
+       date, wm_yr_wk, {r('sell_price')} AS sell_price
 FROM sales_clean"""
     q["profile_nulls"] = w(base) + """
 SELECT 'calendar' AS table_name, count(*) AS n_rows, cast(3 AS BIGINT) AS n_cols,
@@ -257,24 +258,25 @@ SELECT 'calendar' AS table_name, count(*) AS n_rows, cast(3 AS BIGINT) AS n_cols
 FROM calendar
 UNION ALL
 SELECT 'sell_prices', count(*), 4,
-       count_if(store_id IS NULL) + count_if(item_id IS NULL) + count_if(wm_yr_wk IS NULL)
-       + count_if(sell_price IS NULL)
+       cast(count_if(store_id IS NULL) + count_if(item_id IS NULL) + count_if(wm_yr_wk IS NULL)
+       + count_if(sell_price IS NULL) AS BIGINT)
 FROM sell_prices
 UNION ALL
 SELECT 'sales_long', count(*), 8,
-       count_if(id IS NULL) + count_if(item_id IS NULL) + count_if(dept_id IS NULL)
+       cast(count_if(id IS NULL) + count_if(item_id IS NULL) + count_if(dept_id IS NULL)
        + count_if(cat_id IS NULL) + count_if(store_id IS NULL) + count_if(state_id IS NULL)
-       + count_if(d IS NULL) + count_if(sales IS NULL)
+       + count_if(d IS NULL) + count_if(sales IS NULL) AS BIGINT)
 FROM sales_long
 UNION ALL
 SELECT 'sales_priced', count(*), 11,
-       count_if(id IS NULL) + count_if(item_id IS NULL) + count_if(dept_id IS NULL)
+       cast(count_if(id IS NULL) + count_if(item_id IS NULL) + count_if(dept_id IS NULL)
        + count_if(cat_id IS NULL) + count_if(store_id IS NULL) + count_if(state_id IS NULL)
        + count_if(d IS NULL) + count_if(sales IS NULL) + count_if(date IS NULL)
-       + count_if(wm_yr_wk IS NULL) + count_if(sell_price IS NULL)
+       + count_if(wm_yr_wk IS NULL) + count_if(sell_price IS NULL) AS BIGINT)
 FROM sales_priced"""
     q["price_nulls"] = w(base) + """
-SELECT count(*) AS n_rows, count_if(sell_price IS NULL) AS n_null_sell_price FROM sales_priced"""
+SELECT count(*) AS n_rows, cast(count_if(sell_price IS NULL) AS BIGINT) AS n_null_sell_price
+FROM sales_priced"""
     q["profile_range"] = w(base) + """
 SELECT min(date) AS min_date, max(date) AS max_date, count(DISTINCT item_id) AS n_items,
        count(DISTINCT store_id) AS n_stores
@@ -318,8 +320,8 @@ SELECT item_id, store_id, ds, y FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY ds DESC) AS rk
   FROM model_input) WHERE rk <= 180"""
     q["holdout_split_counts"] = w(base) + """
-SELECT item_id, store_id, count(*) AS n_rows, count_if(rk > 90) AS n_train,
-       count_if(rk <= 90) AS n_test, count(*) >= 150 AS evaluable
+SELECT item_id, store_id, count(*) AS n_rows, cast(count_if(rk > 90) AS BIGINT) AS n_train,
+       cast(count_if(rk <= 90) AS BIGINT) AS n_test, count(*) >= 150 AS evaluable
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY ds DESC) AS rk
       FROM model_input)
 GROUP BY item_id, store_id"""
@@ -393,7 +395,7 @@ rp(item_id, store_id, day, ds, demand, level, ordered) AS (
 SELECT item_id, store_id, day, ds, {r('demand')} AS demand, {r('level')} AS level, ordered
 FROM rp"""
     q["replay_orders"] = frr + f"""
-SELECT item_id, store_id, count_if(ordered) AS n_orders, count(*) AS n_days,
+SELECT item_id, store_id, cast(count_if(ordered) AS BIGINT) AS n_orders, count(*) AS n_days,
        {r('min(level)')} AS min_level
 FROM rp GROUP BY item_id, store_id"""
     frs = w(base, FR90, params_cte(DEFAULT), FUTURE, METRICS, SUMMARY)

@@ -38,7 +38,12 @@ def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    s = queries()[name](spark, SF).toPandas()
+    sdf = queries()[name](spark, SF)
+    types = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+             "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+    dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({oracle_sql()[name]})").fetchall()}
+    assert {c: types.get(t, t) for c, t in sdf.dtypes} == dtypes
+    s = sdf.toPandas()
     d = con.execute(oracle_sql()[name]).df()
     cols = sorted(s.columns)
     assert cols == sorted(d.columns)
