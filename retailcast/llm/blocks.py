@@ -202,7 +202,7 @@ def output_schema(docs: DataFrame, id_col: str, text_col: str, extra: list[tuple
             out.add(f.name, "long" if f.name == id_col else f.dataType)
     out.add(text_col, text_type)
     for name, kind in extra:
-        out.add(name, kind)
+        out.add(name, T.DataType.fromDDL(kind))
     return out
 
 

@@ -7,17 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .debruijn import dedup_passages
 from .html_text import extract_main_text
 from .line_dedup import dedup_lines
 from .line_freq import quality_rules
 from .mixing import mix_sources
+from .packing import pack_documents
 from .secret_scan import scan_secrets
+from .va_search import search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_passages(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +53,15 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract_main_text(_table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -52,5 +73,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_line_frequency, op5_secret_scan, op6_source_mix, op9_main_text, op10_line_dedup)
+    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op9_main_text, op10_line_dedup)
 }
