@@ -14,6 +14,7 @@ from .line_freq import quality_rules
 from .mixing import mix_sources
 from .packing import pack_documents
 from .secret_scan import scan_secrets
+from .suffix_dedup import dedup_substrings
 from .va_search import search
 
 
@@ -62,6 +63,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_file(), with_ids=False)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_substrings(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract_main_text(_table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -73,5 +79,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op9_main_text, op10_line_dedup)
+    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup)
 }
