@@ -74,7 +74,7 @@ def _packer(id_col: str, text_col: str, block_bytes: int) -> Callable:
             rest = t.drop_columns([text_col])
             with pa.ipc.new_stream(sink, rest.schema) as w:
                 w.write_table(rest)
-            row = [(part << 32) | seq, len(ids), len(text), int(known.sum()), ids.tobytes(), known.tobytes(), off.tobytes(), press.compress(text.tobytes()), sink.getvalue().to_pybytes()]
+            row = [(part << 24) | seq, len(ids), len(text), int(known.sum()), ids.tobytes(), known.tobytes(), off.tobytes(), press.compress(text.tobytes()), sink.getvalue().to_pybytes()]
             held, size, seq = [], 0, seq + 1
             return pa.RecordBatch.from_arrays([pa.array([v], type=ty) for v, ty in zip(row, [pa.int64()] * 4 + [pa.binary()] * 5, strict=True)], names=["block", "n_rows", "n_bytes", "id_sum", "ids", "known", "offsets", "text", "rest"])
 
@@ -99,7 +99,7 @@ def _packer(id_col: str, text_col: str, block_bytes: int) -> Callable:
 
 
 def write_blocks(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Write ``docs`` (all its columns) as blocks; rows keep their identity by place, so repeated or null ids do no harm."""
+    """Write ``docs`` (all its columns) as blocks of at most 2^14 rows; rows keep their identity by place, so repeated or null ids do no harm."""
     packed = docs.withColumn(id_col, F.col(id_col).cast("long")).mapInArrow(_packer(id_col, text_col, block_bytes), BLOCK)
     return scratch.write(packed, "blocks", codec="uncompressed", batch_rows=512)
 
@@ -128,7 +128,7 @@ def each_block(blocks: DataFrame, f: Callable[[Block, int], list[tuple]], schema
 
 
 def _arrow_schema(schema: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64())}
     return pa.schema([(p.split()[0], kinds[p.split()[1]]) for p in schema.split(", ")])
 
 

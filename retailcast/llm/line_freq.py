@@ -13,7 +13,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U64, grams_hash, mix, per_item, words_hash, words_of
@@ -128,6 +128,44 @@ def judge(spark, docs: DataFrame, id_col: str, text_col: str, host_col: str, lea
 LIMITS = {"least": 100, "share": 0.01, "keep_share": 0.2, "min_words": 20, "max_repeat": 30}
 
 
+def keep_good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
+    """The documents that ``quality_rules`` keeps, with all their columns and without frequent lines.
+
+    A text that loses lines is the rest joined by a newline; ``n_chars`` follows the text if
+    there is such a column.  Rows are matched by id and content, so repeated rows go or stay
+    together.
+    """
+    docs = docs.withColumn(id_col, F.col(id_col).cast("long"))
+    judged = judge(docs.sparkSession, docs, id_col, text_col, host_col, **(LIMITS | limits)).where("kept")
+    kept = judged.groupBy("doc_id", "host", "content").agg(F.first(F.coalesce("removed_lines", F.array().cast("array<long>"))).alias("removed"))
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("content").alias("__content"), F.col("removed").alias("__removed"))
+    marked = docs.withColumn("__hash", _content(F.col(text_col)))
+    met = marked.join(kept, marked[id_col].eqNullSafe(F.col("__id")) & marked[host_col].cast("string").eqNullSafe(F.col("__host")) & (F.col("__hash") == F.col("__content")))
+    out = met.withColumn(text_col, F.when(F.size("__removed") > 0, _without(F.col(text_col), F.col("__removed"))).otherwise(F.coalesce(text_col, F.lit(""))))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length(text_col).cast("long"))
+    return out.select(*docs.columns)
+
+
+def _content(text: Column) -> Column:
+    @F.arrow_udf("long")
+    def content(texts: pa.Array) -> pa.Array:
+        return pa.array([xxhash.xxh3_64_intdigest((t or "").encode()) - (1 << 63) for t in texts.to_pylist()], type=pa.int64())
+
+    return content(text)
+
+
+def _without(text: Column, removed: Column) -> Column:
+    @F.arrow_udf("string")
+    def without(texts: pa.Array, hashes: pa.Array) -> pa.Array:
+        out = []
+        for t, gone in zip(texts.to_pylist(), map(set, hashes.to_pylist()), strict=True):
+            out.append("\n".join(s for s in (t or "").split("\n") if not gone or not s.strip(SPACES) or line_hash(s.encode()) not in gone))
+        return pa.array(out, type=pa.string())
+
+    return without(text, removed)
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
     """Base counts and the line-frequency verdict of every document.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .debruijn import dedup_passages
 from .html_text import extract_main_text
+from .icws import near_duplicates
 from .line_dedup import dedup_lines
 from .line_freq import quality_rules
 from .mixing import mix_sources
@@ -31,6 +32,10 @@ def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -79,5 +84,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup)
+    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op3_weighted_minhash, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup)
 }

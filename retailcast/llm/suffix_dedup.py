@@ -147,13 +147,11 @@ def suffix_array(symbols: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[n
         rank = np.zeros(len(symbols), dtype=np.int64)
         rank[order] = np.cumsum(new)
         levels.append((length, rank))
-        if 2 * length > depth + length:
+        if length >= depth:
             break
         key = np.zeros(len(symbols), dtype=U64)
         key[:n] = (rank[:n].astype(U64) << U64(32)) | rank[np.minimum(np.arange(n) + length, len(symbols) - 1)].astype(U64)
         length *= 2
-        if length >= 2 * depth:
-            break
     keep = np.zeros(len(symbols), dtype=bool)
     keep[wanted] = True
     return order[keep[order]], levels
