@@ -18,7 +18,7 @@ LOW = 24
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit finalizer: every input bit reaches every output bit."""
     h = h ^ (h >> U64(30))
-    h = h * U64(0xBF58476D1CE4E5B9)
+    h *= U64(0xBF58476D1CE4E5B9)
     h ^= h >> U64(27)
     h *= U64(0x94D049BB133111EB)
     h ^= h >> U64(31)
@@ -110,10 +110,15 @@ def minimizer_positions(hashes: np.ndarray, w: int) -> np.ndarray:
     equal positions wherever it stands.
     """
     low = U64((1 << LOW) - 1)
-    pos = np.arange(len(hashes), dtype=U64)
-    m = sliding_min((hashes & ~low) | (pos & low), w)
+    pos = np.arange(len(hashes), dtype=U64) & low
+    pos |= hashes & ~low
+    m = sliding_min(pos, w)
+    m &= low
     at = np.arange(len(m), dtype=U64)
-    return (at + (((m & low) - at) & low)).astype(np.int64)
+    m -= at
+    m &= low
+    m += at
+    return m.view(np.int64)
 
 
 def per_item(bounds: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .arrays import NONE, minimizer_positions, per_item
+from .arrays import NONE, minimizer_positions, mix
 
 
 class Windows:
@@ -22,7 +22,7 @@ class Windows:
 
     def __init__(self, hashes: np.ndarray, bounds: np.ndarray, known: np.ndarray, gram: int, window: int):
         n = int(bounds[-1])
-        self.doc = per_item(bounds).astype(np.int32)
+        self.doc = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
         whole = max(0, n - window + 1)
         hashes = hashes.copy()
         hashes[self.doc[:len(hashes)] != self.doc[gram - 1:]] = NONE
@@ -35,7 +35,7 @@ class Windows:
         self.of = np.cumsum(new) - 1
         self.at = place[self.first]
         self.count = np.diff(np.append(self.first, len(place)))
-        self.hash = hashes[self.at]
+        self.hash = mix(hashes[self.at])  # minimizers are small; mixed again they deal out evenly
 
 
 def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
