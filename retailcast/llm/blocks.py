@@ -6,7 +6,8 @@ blocks of about 1 MB; a block asks about its *distinct* hashes in packed arrays,
 small binary row for each (block, shard).  The shard's task sorts what it got (about
 half a million hashes, however hot one of them is: a block names it once) and answers
 in the same order.  Shuffles carry a few bytes per hash, Spark splits and retries them
-as usual, and nothing of corpus size is broadcast or collected.
+as usual, and nothing of corpus size is broadcast or collected.  The blocks' table is
+bucketed by block, so answers meet the texts without the texts being shuffled again.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ def _packer(id_col: str, text_col: str, block_bytes: int) -> Callable:
 def write_blocks(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Write ``docs`` (all its columns) as blocks of at most 2^14 rows; rows keep their identity by place, so repeated or null ids do no harm."""
     packed = docs.withColumn(id_col, F.col(id_col).cast("long")).mapInArrow(_packer(id_col, text_col, block_bytes), BLOCK)
-    return scratch.write(packed, "blocks", codec="uncompressed", batch_rows=512)
+    return scratch.write_bucketed(packed, "blocks", "block", batch_rows=512)
 
 
 def blocks_size(blocks: DataFrame) -> tuple[int, int]:

@@ -62,6 +62,20 @@ class Scratch:
         self.__dict__.setdefault("kept", []).append(out)
         return out
 
+    def write_bucketed(self, df: DataFrame, name: str, key: str, batch_rows: int) -> DataFrame:
+        """Like ``write``, with one shuffle by ``key``; later groupings by it need no more of them.
+
+        Written uncompressed (packed rows are compressed already), in as many buckets as the
+        session has shuffle partitions.  The catalog's entry is dropped at once: the files
+        stay, and the returned DataFrame knows their buckets.
+        """
+        n, table = int(self.spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+        with settings(self.spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(batch_rows)):
+            df.repartition(n, key).write.option("compression", "uncompressed").option("path", f"{self.at}/{name}").bucketBy(n, key).saveAsTable(table)
+        out = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for t in tables:

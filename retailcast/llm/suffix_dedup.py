@@ -1,30 +1,36 @@
 """Removal of byte strings that repeat across documents, by maximal repeats of suffix arrays.
 
-Only windows whose minimizer more than one document holds can repeat.  Their surroundings
-go, as short segments, to the shard of the minimizer, so all occurrences of a window meet in
-one shard.  There a suffix array over the distinct segments and its common-prefix lengths
-are scanned with a stack: every interval of the common-prefix tree is a repeat with all its
-occurrences; those whose occurrences are preceded by different bytes can't be extended to
-the left and are the maximal repeats.  What a maximal repeat covers in a document with a
-larger id than its least one is removed.
+Only windows whose minimizer more than one document holds can repeat.  The windows of one
+minimizer are a short segment of text; segments go to the shard of their minimizer, so all
+occurrences of a window meet in one shard.  If a minimizer has one and the same segment
+wherever it stands, that segment is a repeat with all its occurrences, and its hash and
+documents are enough.  Where segments differ, their bytes are sent, and a suffix array over
+the distinct ones and its common-prefix lengths are scanned with a stack: every interval of
+the common-prefix tree is a repeat with all its occurrences; those whose occurrences are
+preceded by different bytes can't be extended to the left and are the maximal repeats.  What a
+repeat covers in a document with a larger id than its least one is removed.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
-from .arrays import BASES, U64, covered, mix, prefix, runs_of, spans_hash
+from .arrays import U64, covered, mix, runs_of
 from .blocks import (ASK, Block, answer, blocks_size, each_block, output_schema, output_table, rows_table, shard_bounds, shards_for,
                      with_answers, write_blocks)
 from .repeats import Windows, grouped, number_of
 from .shared import Scratch
 
 GRAM = 16
-#: A minimizer named by more blocks than this is hot; its windows are dealt out one by one.
-HOT_BLOCKS = 512
-SHORT = 5  # bytes of a hash that a shard compares; a chance match costs a look, not a byte
+#: A minimizer with more different segments in the blocks than this is hot: its windows are
+#: dealt out one by one, by their own hash, so that no shard has to hold them all.
+HOT_ENTRIES = 1 << 15
+SHORT = 5  # bytes of a hash that a shard compares
+ONE, MIXED, HOT = 1, 2, 3  # repeats with one segment, with different ones, with very many
+ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def byte_grams(text: np.ndarray) -> np.ndarray:
@@ -37,70 +43,100 @@ def byte_grams(text: np.ndarray) -> np.ndarray:
     for r in range(8):
         part = np.frombuffer(raw, dtype="<u8", offset=r, count=(len(text) - r + 7) // 8)
         eight[r::8] = part[:len(eight[r::8])]
-    a = mix(eight[:n])
-    return mix(a * U64(0x9E3779B97F4A7C15) + eight[8:8 + n])
+    out = eight[:n] * U64(0x9E3779B97F4A7C15)
+    out += eight[8:8 + n] * U64(0xD6E8FEB86659FD93)
+    return mix(out)
 
 
 class Pieces:
-    """A block's windows and distinct minimizers, and with the first answers its segments."""
+    """A block's windows as segments, one for each run of windows with one minimizer."""
 
     def __init__(self, block: Block, window: int):
         self.block, self.window = block, window
-        self.w = Windows(byte_grams(block.text), block.offsets, block.known, GRAM, window)
-        self.order, self.starts = grouped(self.w.hash)
-        self.doc = self.w.doc[self.w.at] if len(self.w.at) else np.zeros(0, np.int32)
+        self.grams = byte_grams(block.text)
+        w = self.w = Windows(self.grams, block.offsets, block.known, GRAM, window)
+        self.ids = block.ids[w.doc[w.at]] if len(w.at) else np.zeros(0, np.int64)
+        self.start = w.start[w.first] if len(w.at) else np.zeros(0, np.int64)
+        self.text_hash = self._span_hash(self.start, w.count + window - 1)
+        self.order, self.starts = grouped(w.hash, self.text_hash)
+
+    def _span_hash(self, start, size):
+        """Hash of each span, from the grams that cover it (at most 112 bytes)."""
+        out = size.astype(U64)
+        for i in range(0, 7 * GRAM, GRAM):
+            out = mix(out * U64(0xD6E8FEB86659FD93) + self.grams[start + np.minimum(i, size - GRAM)])
+        return out
 
     def ask(self, shards: int, number: int) -> list[tuple]:
+        """For each shard the distinct (minimizer, segment) pairs, and whether several documents have them."""
         if not len(self.starts):
             return []
         o, s = self.order, self.starts
-        ids = self.block.ids[self.doc[o]]
+        ids = self.ids[o]
         more = np.minimum.reduceat(ids, s) != np.maximum.reduceat(ids, s)
-        h = self.w.hash[o][s]
-        at, short = shard_bounds(h, shards), _short(h, shards)
-        return [(i, number, np.int64(b - a).tobytes() + short[a:b].tobytes() + np.packbits(more[a:b]).tobytes())
+        h, t = self.w.hash[o][s], self.text_hash[o][s]
+        at, short, short_t = shard_bounds(h, shards), _short(h, shards), _short(t, 1)
+        return [(i, number, np.int64(b - a).tobytes() + short[a:b].tobytes() + short_t[a:b].tobytes() + np.packbits(more[a:b]).tobytes())
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
 
-    def segments(self, payloads: list[bytes]) -> dict:
-        """Runs of windows to look at, distinct by content: start, windows, least id, hash that deals them."""
-        n = len(self.starts)
-        again, hot = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    def send(self, payloads: list[bytes], shards: int, number: int) -> list[tuple]:
+        """Rows of distinct segments for the shards, and one (shard -1) that the block gets back.
+
+        A shard's row holds the segments that are alone under their minimizer (hashes and least
+        id), and the bytes of the others.
+        """
+        kinds = np.zeros(len(self.starts), dtype=np.uint8)
         at = 0
         for p in payloads:
             size = int(np.frombuffer(p, dtype=np.int64, count=1)[0])
-            bits = np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=8), count=2 * size).astype(bool)
-            again[at:at + size], hot[at:at + size] = bits[:size], bits[size:]
+            bits = np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=8), count=2 * size)
+            kinds[at:at + size] = bits[:size] + 2 * bits[size:]
             at += size
-        assert at == n, "an answer is missing"
-        number = number_of(self.order, self.starts)
-        again, hot = again[number], hot[number]
-        w = self.w
-        whole = np.flatnonzero(again & ~hot)
-        single = np.flatnonzero((again & hot)[w.of]) if len(w.start) else np.zeros(0, np.int64)
-        start = np.concatenate([w.start[w.first[whole]], w.start[single]])
-        count = np.concatenate([w.count[whole], np.ones(len(single), np.int64)])
-        text_hash = self._span_hash(start, start + count + self.window - 1)
-        deal = np.concatenate([w.hash[whole], text_hash[len(whole):]])
+        assert at == len(kinds), "an answer is missing"
+        kinds, w = kinds[number_of(self.order, self.starts)], self.w
+        one = self._distinct(w.hash, self.text_hash, np.flatnonzero(kinds == ONE), self.start, w.count, self.ids)
+        mixed = np.flatnonzero(kinds == MIXED)
+        single = np.flatnonzero((kinds == HOT)[w.of]) if len(w.start) else np.zeros(0, np.int64)
+        alone = self._span_hash(w.start[single], np.full(len(single), self.window))
+        deal, text_hash = np.concatenate([w.hash[mixed], alone]), np.concatenate([self.text_hash[mixed], alone])
+        start = np.concatenate([self.start[mixed], w.start[single]])
+        count = np.concatenate([w.count[mixed], np.ones(len(single), np.int64)])
+        ids = np.concatenate([self.ids[mixed], self.block.ids[w.doc[start[len(mixed):]]]])
+        many = self._distinct(deal, text_hash, np.arange(len(deal)), start, count, ids)
+        n = len(one["first"])
+        state = b"".join(x.tobytes() for x in (
+            np.concatenate([one["start"], many["start"]]), np.concatenate([one["number"], many["number"] + n]).astype(np.uint32),
+            np.concatenate([one["count"], many["count"]]).astype(np.uint8), np.concatenate([one["later"], many["later"]])))
+        out = [(-1, number, np.array([n, len(many["first"])], dtype=np.int64).tobytes() + _press(state))]
+        start, size = many["start"][many["first"]], many["count"][many["first"]] + self.window - 1
+        begin = np.concatenate([[0], np.cumsum(size)])
+        text = self.block.text[np.repeat(start - begin[:-1], size) + np.arange(begin[-1])]
+        at, at_many = shard_bounds(one["deal"], shards), shard_bounds(many["deal"], shards)
+        short = _short(one["deal"], shards)
+        for i in range(shards):
+            a, b, c, d = at[i], at[i + 1], at_many[i], at_many[i + 1]
+            if b > a or d > c:
+                out.append((i, number, np.array([b - a, d - c], dtype=np.int64).tobytes() + one["hash"][a:b].tobytes() + one["least"][a:b].tobytes() + many["least"][c:d].tobytes()
+                            + short[a:b].tobytes() + size[c:d].astype(np.uint8).tobytes() + _press(text[begin[c]:begin[d]].tobytes())))
+        return out
+
+    @staticmethod
+    def _distinct(deal, text_hash, which, start, count, ids) -> dict:
+        """Distinct ones of the segments ``which``, in order of the hash that deals them."""
+        deal, text_hash, ids = deal[which], text_hash[which], ids[which]
         order, starts = grouped(deal, text_hash)
-        ids = self.block.ids[w.doc[start]] if len(start) else np.zeros(0, np.int64)
-        return {"start": start, "count": count, "ids": ids, "order": order, "starts": starts, "deal": deal,
-                "least": np.minimum.reduceat(ids[order], starts) if len(starts) else ids, "number": number_of(order, starts)}
+        least = np.minimum.reduceat(ids[order], starts) if len(starts) else ids
+        number, first = number_of(order, starts), order[starts]
+        return {"deal": deal[first], "hash": text_hash[first], "least": least, "first": first, "number": number, "start": start[which], "count": count[which], "later": ids > least[number] if len(ids) else np.zeros(0, bool)}
 
-    def _span_hash(self, start, end):
-        return spans_hash(prefix(self.block.text.astype(U64) + U64(1), BASES[0]), BASES[0], start, end)
 
-    def send(self, payloads: list[bytes], shards: int, number: int) -> list[tuple]:
-        g = self.segments(payloads)
-        one = g["order"][g["starts"]]
-        if not len(one):
-            return []
-        start, length = g["start"][one], (g["count"][one] + self.window - 1).astype(np.uint8)
-        size = length.astype(np.int64)
-        begin = np.concatenate([[0], np.cumsum(size)])
-        text = self.block.text[np.repeat(start - begin[:-1], size) + np.arange(begin[-1])]
-        at = shard_bounds(g["deal"][one], shards)
-        return [(i, number, np.int64(b - a).tobytes() + g["least"][a:b].tobytes() + length[a:b].tobytes() + text[begin[a]:begin[b]].tobytes())
-                for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+def _press(raw: bytes) -> bytes:
+    return np.int64(len(raw)).tobytes() + (zstandard.ZstdCompressor(level=3).compress(raw) if raw else b"")
+
+
+def _pressed(raw: bytes) -> bytes:
+    size = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
+    return zstandard.ZstdDecompressor().decompress(raw[8:], max_output_size=size) if size else b""
 
 
 def _short(h: np.ndarray, shards: int) -> np.ndarray:
@@ -109,23 +145,32 @@ def _short(h: np.ndarray, shards: int) -> np.ndarray:
     return np.ascontiguousarray((h << bits).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :SHORT])
 
 
+def _wide(short: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(short), 8), dtype=np.uint8)
+    wide[:, :SHORT] = short
+    return wide.view(">u8").ravel().astype(U64)
+
+
 def _grams(_, payloads):
-    """Which minimizers more than one document holds, and which are hot."""
+    """Of each (minimizer, segment): does the minimizer repeat, and with which kind of segments."""
     counts = [int(np.frombuffer(p, dtype=np.int64, count=1)[0]) for p in payloads]
     total = sum(counts)
-    wide = np.zeros((total, 8), dtype=np.uint8)
-    more, at = np.zeros(total, dtype=bool), 0
+    short, short_t, more, at = np.zeros((total, SHORT), np.uint8), np.zeros((total, SHORT), np.uint8), np.zeros(total, dtype=bool), 0
     for p, n in zip(payloads, counts, strict=True):
-        wide[at:at + n, :SHORT] = np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=8).reshape(n, SHORT)
-        more[at:at + n] = np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=8 + SHORT * n), count=n).astype(bool)
+        short[at:at + n] = np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=8).reshape(n, SHORT)
+        short_t[at:at + n] = np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=8 + SHORT * n).reshape(n, SHORT)
+        more[at:at + n] = np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=8 + 2 * SHORT * n), count=n).astype(bool)
         at += n
-    order, starts = grouped(wide.view(">u8").ravel().astype(np.uint64))
-    blocks = np.diff(np.append(starts, total))
-    again = (blocks > 1) | np.logical_or.reduceat(more[order], starts)
-    number, out, at = number_of(order, starts), [], 0
-    again, hot = again[number], (blocks > HOT_BLOCKS)[number]
+    order, starts = grouped(_wide(short))
+    text = _wide(short_t)[order]
+    entries = np.diff(np.append(starts, total))
+    again = (entries > 1) | np.logical_or.reduceat(more[order], starts)
+    same = np.minimum.reduceat(text, starts) == np.maximum.reduceat(text, starts)
+    kind = np.where(~again, 0, np.where(same, ONE, np.where(entries > HOT_ENTRIES, HOT, MIXED))).astype(np.uint8)
+    kind, out, at = kind[number_of(order, starts)], [], 0
     for n in counts:
-        out.append(np.int64(n).tobytes() + np.packbits(np.concatenate([again[at:at + n], hot[at:at + n]])).tobytes())
+        k = kind[at:at + n]
+        out.append(np.int64(n).tobytes() + np.packbits(np.concatenate([k & 1, k >> 1])).tobytes())
         at += n
     return out
 
@@ -135,22 +180,25 @@ def suffix_array(symbols: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[n
 
     symbols: 1..256 with ``depth`` zeros at the end -> (sorted positions, ranks at each length).
     """
-    n, key = len(symbols) - depth, np.zeros(len(symbols), dtype=U64)
+    n = len(symbols) - depth
+    key = np.zeros(n, dtype=U64)
     for i in range(7):
-        key[:n] = (key[:n] << U64(9)) | symbols[i:i + n].astype(U64)
+        key = (key << U64(9)) | symbols[i:i + n].astype(U64)
     levels, length = [], 7
     while True:
-        order = np.argsort(key[:n], kind="stable")
+        order = np.argsort(key, kind="stable")
         s = key[order]
         new = np.ones(n, dtype=bool)
         new[1:] = s[1:] != s[:-1]
-        rank = np.zeros(len(symbols), dtype=np.int64)
+        rank = np.zeros(len(symbols), dtype=np.int32)
         rank[order] = np.cumsum(new)
         levels.append((length, rank))
         if length >= depth:
             break
-        key = np.zeros(len(symbols), dtype=U64)
-        key[:n] = (rank[:n].astype(U64) << U64(32)) | rank[np.minimum(np.arange(n) + length, len(symbols) - 1)].astype(U64)
+        key = rank[:n].astype(U64)
+        key <<= U64(32)
+        after = min(n, len(symbols) - length)
+        key[:after] |= rank[length:length + after].astype(U64)
         length *= 2
     keep = np.zeros(len(symbols), dtype=bool)
     keep[wanted] = True
@@ -236,47 +284,66 @@ def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return number, np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + first[number]
 
 
+def _ones(parts: list) -> np.ndarray:
+    """Which segments that are alone under their minimizer stand in a smaller document too."""
+    text, least, short = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order, starts = grouped(text, _wide(short))
+    return least > np.minimum.reduceat(least[order], starts)[number_of(order, starts)] if len(starts) else np.zeros(0, bool)
+
+
+def _mixed(parts: list, window: int) -> np.ndarray:
+    """Per segment a bit for each of its windows: set if the window stands in a smaller document too."""
+    least, size, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if not len(size):
+        return np.zeros(0, U64)
+    size = size.astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    most = int(size.max())
+    table = np.zeros((len(size), most + 1), dtype=np.uint8)
+    table[np.repeat(np.arange(len(size)), size), np.arange(len(text)) - np.repeat(begin[:-1], size)] = text
+    table[:, most] = size
+    _, one, number = np.unique(table.view(f"V{most + 1}").ravel(), return_index=True, return_inverse=True)
+    owner = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(owner, number, least)
+    sizes = size[one]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    own = text[np.repeat(begin[one] - bounds[:-1], sizes) + np.arange(bounds[-1])]
+    position, first, last, length = maximal_repeats(own, bounds, window)
+    doc = owner[np.searchsorted(bounds, position, side="right") - 1]
+    dup = np.zeros(len(own) + 1, dtype=np.int64)
+    total, step = np.cumsum(last - first + 1), 1 << 20  # members of nested repeats, so many at a time
+    for part in np.split(np.arange(len(first)), np.searchsorted(total, np.arange(step, total[-1], step))) if len(first) else []:
+        if not len(part):
+            continue
+        cuts = np.stack([first[part], last[part] + 1], axis=1).ravel()
+        low = np.minimum.reduceat(np.append(doc, doc[-1:]), cuts)[::2]
+        repeat, member = _expand(first[part], last[part])
+        later = doc[member] > low[repeat]
+        at = position[member[later]]
+        np.add.at(dup, at, 1)
+        np.add.at(dup, at + length[part][repeat[later]] - window + 1, -1)
+    at = np.flatnonzero(np.cumsum(dup[:-1]) > 0)  # window starts that repeat in a smaller document
+    bits = np.zeros(len(one), dtype=U64)
+    s = np.searchsorted(bounds, at, side="right") - 1
+    np.bitwise_or.at(bits, s, U64(1) << (at - bounds[s]).astype(U64))
+    out = bits[number]
+    out[least > owner[number]] = ALL  # the same segment in a smaller document
+    return out
+
+
 def _segments(window: int):
     def run(_, payloads):
-        counts = [int(np.frombuffer(p, dtype=np.int64, count=1)[0]) for p in payloads]
-        least = np.concatenate([np.frombuffer(p, dtype=np.int64, count=n, offset=8) for p, n in zip(payloads, counts, strict=True)])
-        size = np.concatenate([np.frombuffer(p, dtype=np.uint8, count=n, offset=8 + 8 * n) for p, n in zip(payloads, counts, strict=True)]).astype(np.int64)
-        text = np.concatenate([np.frombuffer(p, dtype=np.uint8, offset=8 + 9 * n) for p, n in zip(payloads, counts, strict=True)])
-        begin = np.concatenate([[0], np.cumsum(size)])
-        most = int(size.max())
-        table = np.zeros((len(size), most + 1), dtype=np.uint8)
-        row, column = np.repeat(np.arange(len(size)), size), np.arange(len(text)) - np.repeat(begin[:-1], size)
-        table[row, column] = text
-        table[:, most] = size
-        _, one, number = np.unique(table.view(f"V{most + 1}").ravel(), return_index=True, return_inverse=True)
-        owner = np.full(len(one), np.iinfo(np.int64).max)
-        np.minimum.at(owner, number, least)
-        sizes = size[one]
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        own = text[np.repeat(begin[one] - bounds[:-1], sizes) + np.arange(bounds[-1])]
-        position, first, last, length = maximal_repeats(own, bounds, window)
-        segment = np.searchsorted(bounds, position, side="right") - 1
-        doc = owner[segment]
-        dup = np.zeros(len(own) + 1, dtype=np.int64)
-        if len(first):
-            cuts = np.stack([first, last + 1], axis=1).ravel()
-            low = np.minimum.reduceat(np.append(doc, doc[-1:]), cuts)[::2]
-            repeat, member = _expand(first, last)
-            later = doc[member] > low[repeat]
-            at = position[member[later]]
-            np.add.at(dup, at, 1)
-            np.add.at(dup, at + length[repeat[later]] - window + 1, -1)
-        mask = np.cumsum(dup[:-1]) > 0  # window starts that repeat in a smaller document
-        bits = np.zeros(len(one), dtype=U64)
-        at = np.flatnonzero(mask)
-        s = np.searchsorted(bounds, at, side="right") - 1
-        np.bitwise_or.at(bits, s, U64(1) << (at - bounds[s]).astype(U64))
-        answer_ = bits[number]
-        answer_[least > owner[number]] = U64(0xFFFFFFFFFFFFFFFF)  # the same segment in a smaller document
-        out, at = [], 0
-        for n in counts:
-            out.append(answer_[at:at + n].tobytes())
-            at += n
+        sizes, ones, many = [], [], []
+        for p in payloads:
+            n, m = np.frombuffer(p, dtype=np.int64, count=2).tolist()
+            at = 16 + 16 * n + 8 * m
+            sizes.append((n, m))
+            ones.append((np.frombuffer(p, dtype=U64, count=n, offset=16), np.frombuffer(p, dtype=np.int64, count=n, offset=16 + 8 * n), np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=at).reshape(n, SHORT)))
+            many.append((np.frombuffer(p, dtype=np.int64, count=m, offset=16 + 16 * n), np.frombuffer(p, dtype=np.uint8, count=m, offset=at + SHORT * n), np.frombuffer(_pressed(p[at + SHORT * n + m:]), dtype=np.uint8)))
+        dup, bits, out, a, b = _ones(ones), _mixed(many, window), [], 0, 0
+        for n, m in sizes:
+            out.append(np.array([n, m], dtype=np.int64).tobytes() + bits[b:b + m].tobytes() + np.packbits(dup[a:a + n]).tobytes())
+            a, b = a + n, b + m
         return out
 
     return run
@@ -298,32 +365,32 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scratch = Scratch(docs.sparkSession, "suffix_dedup")
     blocks = write_blocks(scratch, docs, id_col, text_col)
     _, size = blocks_size(blocks)
-    gram_shards, segment_shards = shards_for(size / 18), shards_for(size / 2, 1 << 20, 32)
-    asked = scratch.write(each_block(blocks, lambda b, i: Pieces(b, window).ask(gram_shards, i), ASK), "grams", "uncompressed", 4)
-    again = scratch.write(answer(asked, _grams), "gram_answers")
-    scratch.drop(asked)
+    gram_shards, segment_shards = shards_for(size / 18), shards_for(size / 4, 1 << 19, 32)
+    asked = each_block(blocks, lambda b, i: Pieces(b, window).ask(gram_shards, i), ASK)
+    again = scratch.write(answer(asked, _grams), "gram_answers", batch_rows=8)
     sent = with_answers(blocks, again, lambda b, i, got: rows_table(Pieces(b, window).send(got, segment_shards, i), ASK), ASK)
-    sent = scratch.write(sent, "segments")
-    found = scratch.write(answer(sent, _segments(window)), "segment_answers")
-    scratch.drop(sent)
-    both = again.unionByName(found.withColumn("shard", found["shard"] + gram_shards))
+    sent = scratch.write(sent, "segments", "uncompressed")
+    both = sent.where("shard < 0").unionByName(answer(sent.where("shard >= 0"), _segments(window)))
     schema = output_schema(docs, id_col, text_col, [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")], "binary")
 
     def finish(block: Block, _, payloads: list[bytes]) -> pa.Table:
-        p, at, first = Pieces(block, window), 0, 0
-        while at < len(p.starts):
-            at += int(np.frombuffer(payloads[first], dtype=np.int64, count=1)[0])
-            first += 1
-        g = p.segments(payloads[:first])
-        bits = np.frombuffer(b"".join(payloads[first:]), dtype=U64)
-        assert len(bits) == len(g["starts"]), "an answer is missing"
-        mine = bits[g["number"]].copy() if len(bits) else np.zeros(0, U64)
-        if len(mine):
-            mine[g["ids"] > g["least"][g["number"]]] = U64(0xFFFFFFFFFFFFFFFF)
-        segment, offset = _expand(np.zeros(len(mine), np.int64), g["count"] - 1) if len(mine) else (np.zeros(0, np.int64),) * 2
+        n, m = np.frombuffer(payloads[0], dtype=np.int64, count=2).tolist()
+        state = _pressed(payloads[0][16:])
+        size = len(state) // 14
+        start, number, count, later = (np.frombuffer(state, dtype=k, count=size, offset=at * size) for k, at in ((np.int64, 0), (np.uint32, 8), (np.uint8, 12), (bool, 13)))
+        ones, many = [], []
+        for p in payloads[1:]:
+            a, b = np.frombuffer(p, dtype=np.int64, count=2).tolist()
+            many.append(np.frombuffer(p, dtype=U64, count=b, offset=16))
+            ones.append(np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=16 + 8 * b), count=a))
+        bits = np.concatenate([np.where(np.concatenate([*ones, np.zeros(0, np.uint8)]) > 0, ALL, U64(0)), *many])
+        assert len(bits) == n + m, "an answer is missing"
+        mine = np.where(later, ALL, bits[number]) if size else bits
+        segment, offset = _expand(np.zeros(size, np.int64), count.astype(np.int64) - 1)
         dup = (mine[segment] >> offset.astype(U64)) & U64(1) > 0
+        start = start[segment[dup]] + offset[dup]
         n = len(block.text)
-        gone = covered(n, g["start"][segment[dup]] + offset[dup], window)
+        gone = covered(n, start, window)
         sizes = np.diff(block.offsets)
         total = np.concatenate([[0], np.cumsum(gone)])
         removed = total[block.offsets[1:]] - total[block.offsets[:-1]]
