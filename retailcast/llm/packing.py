@@ -22,7 +22,7 @@ from .shared import Scratch
 PIECE = [("doc_id", "long"), ("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")]
 PLACED = PIECE + [("sequence_id", "long"), ("offset", "long"), ("open", "boolean")]
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
-KEEP_WORDS = 300_000
+KEEP_WORDS = 1_500_000  # in a worker: some 200 MB
 
 
 def _schema(columns) -> str:
@@ -36,33 +36,65 @@ def _loaded(text: str):
     kept = tokenizers.__dict__.setdefault("_loaded_by_text", {})
     key = zlib.crc32(text.encode())
     if key not in kept:
-        kept[key] = (tokenizers.Tokenizer.from_str(text), {})
+        tokenizer = tokenizers.Tokenizer.from_str(text)
+        vocabulary = tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        kept[key] = (tokenizer, ends, {}, {})
     return kept[key]
 
 
+def _encode(tokenizer, ends: np.ndarray, words: list[bytes], stems: dict[bytes, bytes]) -> dict[bytes, bytes]:
+    """Token ids (little-endian uint32) of each word.
+
+    Letters and the punctuation after them are separate pieces to the tokenizer, and case is
+    dropped, so a word's ids are those of its stem and of the mark behind it.  Stems of
+    letters alone are encoded many at a time: each is one piece, and the count of ids that end a
+    piece proves it (a vocabulary without such ids is used word by word).
+    """
+    parts = {}
+    for w in words:
+        low = w.lower()
+        parts[w] = (low[:-1], low[-1:]) if low[-1] in b".," and 97 <= low[-2:-1].ljust(1)[0] <= 122 else (low, b"")
+    fresh = list({x for p in parts.values() for x in p if x} - stems.keys())
+    letters, rest = [], []
+    for x in fresh:
+        (letters if x.decode().isalpha() else rest).append(x)
+    chunks = [letters[i:i + 256] for i in range(0, len(letters), 256)]
+    for chunk, e in zip(chunks, tokenizer.encode_batch_fast([b" ".join(c).decode() for c in chunks], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, dtype="<u4")
+        bounds = [0, *(np.flatnonzero(ends[ids]) + 1).tolist()]
+        if len(bounds) != len(chunk) + 1 or bounds[-1] != len(ids):
+            rest += chunk
+            continue
+        raw = ids.tobytes()
+        stems.update((x, raw[4 * i:4 * j]) for x, i, j in zip(chunk, bounds[:-1], bounds[1:], strict=True))
+    for x, e in zip(rest, tokenizer.encode_batch_fast([x.decode() for x in rest], add_special_tokens=False), strict=True):
+        stems[x] = np.array(e.ids, dtype="<u4").tobytes()
+    return {w: stems[a] + stems[b] if b else stems[a] for w, (a, b) in parts.items()}
+
+
 def _cutter(spec, most: int, end_id: int, with_ids: bool):
     """Token ids of documents, cut into pieces of at most ``most``.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words'
-    ids end to end; a worker encodes each of its frequent words once.
+    ids end to end; a worker keeps those of the words it saw last.
     """
     columns = PIECE + [("ids", "binary")] * with_ids
 
     def cut(batches):
-        tokenizer, known = _loaded(spec.value)
+        tokenizer, ends, known, stems = _loaded(spec.value)
         last = np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
-            raw = [(t or "").encode().split() for t in b.column("text").to_pylist()]
-            fresh = list({w for ws in raw for w in ws} - known.keys())
-            if len(known) + len(fresh) > KEEP_WORDS:
+            raw = [(t or b"").split() for t in b.column("text").cast(pa.binary()).to_pylist()]
+            every = set().union(*raw)
+            if len(known) + len(stems) > KEEP_WORDS:
                 known.clear()
-                fresh = list({w for ws in raw for w in ws})
-            for at in range(0, len(fresh), 20_000):
-                part = fresh[at:at + 20_000]
-                known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True))
+                stems.clear()
+            known.update(_encode(tokenizer, ends, list(every - known.keys()), stems))
             rows: list[tuple] = []
             for doc, ws in zip(b.column("doc_id").to_pylist(), raw, strict=True):
-                ids = b"".join([known[w] for w in ws]) + last
+                ids = b"".join(map(known.__getitem__, ws)) + last
                 for i in range(0, len(ids), 4 * most):
                     own = ids[i:i + 4 * most]
                     rows.append((doc, i // (4 * most), i // 4, len(own) // 4, zlib.crc32(own), own)[:len(columns)])
