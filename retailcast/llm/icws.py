@@ -5,8 +5,8 @@ frequencies of hashed shingle features are counted over all documents in a table
 size.  Each sample of a document is a shingle drawn in proportion to its weight, equal in two
 documents with the probability of their weighted Jaccard similarity.  Bands of samples put
 similar documents into common buckets; in a bucket everyone is compared with one leader
-first, and only components that are still apart look for further partners.  Every link is
-verified on the documents' whole shingle weights.
+first, and only components that are still apart look for further partners, among those that
+share one of their rarest shingles.  Every link is verified on the documents' whole shingle weights.
 """
 
 from __future__ import annotations
@@ -162,17 +162,61 @@ def _signatures(idf, tables):
     return sign
 
 
-def _vectors(block: Block, number: int, rows: list[int]) -> list[tuple]:
+def _chosen(block: Block, rows: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The asked rows, and (index among them, hash) of their shingles; other documents are not looked at."""
+    rows = sorted(rows)
+    places = np.array([r & 0xFFFF for r in rows], dtype=np.int64)
+    sizes = (block.offsets[1:] - block.offsets[:-1])[places]
+    own = Block.__new__(Block)
+    own.offsets = np.concatenate([[0], np.cumsum(sizes)])
+    own.text = block.text[np.repeat(block.offsets[places] - own.offsets[:-1], sizes) + np.arange(own.offsets[-1])]
+    doc, h, _ = shingles(own)
+    return rows, doc, h
+
+
+def _vectors(block: Block, rows: list[int], _) -> list[tuple]:
     """(row, all shingle hashes sorted, with repeats) of the asked rows."""
-    doc, h, _ = shingles(block)
+    rows, doc, h = _chosen(block, rows)
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
-    out = []
-    for r in rows:
-        i = r & 0xFFFF
-        a, b = np.searchsorted(doc, [i, i + 1])
-        out.append((r, h[a:b].tobytes()))
-    return out
+    at = np.searchsorted(doc, np.arange(len(rows) + 1))
+    return [(r, h[a:b].tobytes()) for r, a, b in zip(rows, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _prefixes(similar: float):
+    """(row, its rarest shingles) of the asked rows, as many as weigh more than 1 - ``similar`` of all.
+
+    Two documents as similar as that share at least one of those, whatever the order, if it is
+    the same for all (here: by the features' counts): what is left of either could not hold a
+    large enough common part.
+    """
+
+    def run(block: Block, rows: list[int], shared) -> list[tuple]:
+        idf, counts = shared
+        rows, doc, h = _chosen(block, rows)
+        d, s, tf = distinct_shingles(doc, h)
+        order = np.lexsort((s, counts[feature(s)], d))
+        d, s, w = d[order], s[order], (tf * idf[feature(s)].astype(np.float64))[order]
+        at = np.searchsorted(d, np.arange(len(rows) + 1))
+        before = np.concatenate([[0], np.cumsum(w)])
+        total = (before[at[1:]] - before[at[:-1]])[d]
+        taken = before[:-1] - before[at[:-1]][d] <= (1 - similar) * total * (1 + 1e-9)
+        short = (s >> U64(32)).astype("<u4")
+        return [(r, short[a:b][taken[a:b]].tobytes()) for r, a, b in zip(rows, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+    return run
+
+
+def fetch(scratch: Scratch, blocks: DataFrame, rows: DataFrame, what, shared, name: str) -> DataFrame:
+    """(row, vector): ``what(block, asked rows, shared value)`` of the blocks that hold asked rows."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows or not left.num_rows:
+            return rows_table([], "row long, vector binary")
+        return rows_table(what(Block(left.to_pylist()[0]), right.column("row").to_pylist(), shared.value if shared else None), "row long, vector binary")
+
+    rows = rows.select("row").distinct().withColumn("in_block", F.shiftright("row", 16))
+    return scratch.write(blocks.groupBy("block").cogroup(rows.groupBy("in_block")).applyInArrow(run, "row long, vector binary"), name)
 
 
 def weighted_jaccard(x: bytes, y: bytes, idf: np.ndarray) -> float:
@@ -199,16 +243,7 @@ def _similarity(idf, x: Column, y: Column) -> Column:
 def verified(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, idf, similar: float, name: str) -> DataFrame:
     """The pairs (a, b) whose weighted Jaccard similarity is ``similar`` or more."""
     pairs = scratch.write(pairs.distinct(), f"{name}_pairs")
-    rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct().withColumn("in_block", F.shiftright("row", 16))
-
-    def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not right.num_rows or not left.num_rows:
-            return rows_table([], "row long, vector binary")
-        row = left.to_pylist()[0]
-        return rows_table(_vectors(Block(row), row["block"], sorted(right.column("row").to_pylist())), "row long, vector binary")
-
-    vectors = blocks.groupBy("block").cogroup(rows.groupBy("in_block")).applyInArrow(fetch, "row long, vector binary")
-    vectors = scratch.write(vectors, f"{name}_vectors")
+    vectors = fetch(scratch, blocks, pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))), _vectors, None, f"{name}_vectors")
     first = vectors.select(F.col("row").alias("x"), F.col("vector").alias("vx"))
     second = vectors.select(F.col("row").alias("y"), F.col("vector").alias("vy"))
     both = pairs.join(second, F.col("b") == F.col("y")).join(first, F.col("a") == F.col("x"))
@@ -218,7 +253,8 @@ def verified(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, idf, similar
 
 
 def _partners(best_only: bool):
-    """Pairs of different components in a part of a bucket whose samples agree often enough.
+    """Pairs of different components in a part of a bucket that may be similar enough: they share
+    a rare shingle (``_prefixes``), and their samples agree often enough.
 
     With ``best_only`` each document names its best partner in each other component.
     """
@@ -226,22 +262,31 @@ def _partners(best_only: bool):
     def run(t: pa.Table) -> pa.Table:
         row, label, side = (t.column(c).to_numpy() for c in ("row", "label", "side"))
         sig = np.frombuffer(b"".join(t.column("samples").to_pylist()), dtype="<u4").reshape(len(row), -1)
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        out = []
-        for i in left.tolist():
-            agree = (sig[right] == sig[i]).sum(1)
-            ok = (agree >= AGREE) & (label[right] != label[i])
-            j, n = right[ok], agree[ok]
+        rare = [np.frombuffer(p, dtype="<u4") for p in t.column("vector").to_pylist()]
+        holds = side != 0  # documents that may be a partner
+        number = np.repeat(np.arange(len(row)), [len(x) if ok else 0 for x, ok in zip(rare, holds.tolist(), strict=True)])
+        token = np.concatenate([np.zeros(0, "<u4"), *[x for x, ok in zip(rare, holds.tolist(), strict=True) if ok]])
+        order = np.argsort(token, kind="stable")
+        token, number = token[order], number[order]
+        out = set()
+        for i in np.flatnonzero(side != 1).tolist():
+            a, b = np.searchsorted(token, rare[i]), np.searchsorted(token, rare[i], side="right")
+            n = b - a
+            at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+            j = np.unique(number[at])
+            j = j[label[j] != label[i]]
+            agree = (sig[j] == sig[i]).sum(1)
+            j, agree = j[agree >= AGREE], agree[agree >= AGREE]
             if best_only and len(j):
-                order = np.lexsort((row[j], -n, label[j]))
-                j = j[order][np.append(True, label[j][order][1:] != label[j][order][:-1])]
-            out += [(min(int(row[i]), b), max(int(row[i]), b)) for b in row[j].tolist()]
-        return rows_table(list(set(out)), "a long, b long")
+                order_ = np.lexsort((row[j], -agree, label[j]))
+                j = j[order_][np.append(True, label[j][order_][1:] != label[j][order_][:-1])]
+            out |= {(min(int(row[i]), b), max(int(row[i]), b)) for b in row[j].tolist()}
+        return rows_table(list(out), "a long, b long")
 
     return run
 
 
-def _still_apart(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, best_only: bool) -> DataFrame:
+def _still_apart(scratch: Scratch, blocks: DataFrame, buckets: DataFrame, labels: DataFrame, signatures: DataFrame, shared, similar: float, best_only: bool) -> DataFrame:
     """Candidate pairs across components that share a bucket.
 
     A bucket's largest component and the others are cut into chunks that meet pairwise, but
@@ -262,7 +307,10 @@ def _still_apart(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, b
     other = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     among = other.select("band", "key", "row", "label", F.when(F.col("chunk") == F.col("o"), 2).when(F.col("chunk") < F.col("o"), 0).otherwise(1).alias("side"),
                          (-1 - F.least("chunk", "o")).alias("i"), F.greatest("chunk", "o").alias("j"))
-    tasks = main.unionByName(across).unionByName(among).join(signatures.select(F.col("row").alias("s"), "samples"), F.col("row") == F.col("s")).drop("s")
+    name = "best" if best_only else "rest"
+    rare = fetch(scratch, blocks, scratch.write(met.select("row").distinct(), f"{name}_open"), _prefixes(similar), shared, f"{name}_rare")
+    known = rare.join(signatures.select(F.col("row").alias("s"), "samples"), F.col("row") == F.col("s")).select("s", "samples", "vector")
+    tasks = main.unionByName(across).unionByName(among).join(known, F.col("row") == F.col("s")).drop("s")
     return tasks.groupBy("band", "key", "i", "j").applyInArrow(_partners(best_only), "a long, b long")
 
 
@@ -272,6 +320,7 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
     counts = frequencies(scratch, blocks)
     n = int(blocks.agg(F.sum("n_rows")).first()[0] or 0)
     idf = spark.sparkContext.broadcast(inverse_frequency(n, counts))
+    shared = spark.sparkContext.broadcast((inverse_frequency(n, counts), counts))
     table = gamma2_table()
     tables = spark.sparkContext.broadcast((table, np.log(table)))
     signed = scratch.write(each_block(blocks, _signatures(idf, tables), SIGNATURE), "signatures", batch_rows=4)
@@ -291,7 +340,7 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
     links = verified(scratch, blocks, buckets.where("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b")), idf, similar, "star")
     labels = components(scratch, links, "star")
     for name, best_only in (("best", True), ("rest", False)):
-        more = scratch.write(_still_apart(buckets, labels, signatures, best_only), f"{name}_apart")
+        more = scratch.write(_still_apart(scratch, blocks, buckets, labels, signatures, shared, similar, best_only), f"{name}_apart")
         if more.isEmpty():
             break
         found = verified(scratch, blocks, more, idf, similar, name)
