@@ -32,3 +32,18 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
         scratch.kept.append(labels)
         if done:
             return labels
+
+
+def joined(scratch: Scratch, labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``labels`` after further links: only the links between components are looked at."""
+
+    def end(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(f"{side}_node"), F.col("label").alias(f"{side}_label"))
+
+    ends = links.join(end("a"), F.col("a") == F.col("a_node"), "left").join(end("b"), F.col("b") == F.col("b_node"), "left")
+    ends = ends.select("a", "b", F.coalesce("a_label", "a").alias("la"), F.coalesce("b_label", "b").alias("lb"))
+    between = components(scratch, ends.select(F.col("la").alias("a"), F.col("lb").alias("b")).where("a <> b").distinct(), name)
+    between = between.select(F.col("node").alias("old"), F.col("label").alias("new"))
+    nodes = labels.unionByName(between.select(F.col("old").alias("node"), F.col("old").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+    merged = nodes.join(between, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label"))
+    return scratch.write(merged, f"{name}_joined")

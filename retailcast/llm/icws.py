@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .arrays import BASES, SEEDS, U64, grams_hash, mix, per_item, prefix, spans_hash, words_hash, words_of
 from .blocks import Block, each_block, output_schema, rows_table, write_blocks
-from .components import components
+from .components import components, joined
 from .shared import Scratch
 
 SHINGLE = 5
@@ -262,6 +262,7 @@ def _partners(best_only: bool):
     def run(t: pa.Table) -> pa.Table:
         row, label, side = (t.column(c).to_numpy() for c in ("row", "label", "side"))
         sig = np.frombuffer(b"".join(t.column("samples").to_pylist()), dtype="<u4").reshape(len(row), -1)
+        bands, band = np.array(t.column("bands").to_pylist(), dtype=np.int64), t.column("band")[0].as_py()
         rare = [np.frombuffer(p, dtype="<u4") for p in t.column("vector").to_pylist()]
         holds = side != 0  # documents that may be a partner
         number = np.repeat(np.arange(len(row)), [len(x) if ok else 0 for x, ok in zip(rare, holds.tolist(), strict=True)])
@@ -275,6 +276,7 @@ def _partners(best_only: bool):
             at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
             j = np.unique(number[at])
             j = j[label[j] != label[i]]
+            j = j[(bands[j] == bands[i]).argmax(1) == band]  # a pair is named in its first common band
             agree = (sig[j] == sig[i]).sum(1)
             j, agree = j[agree >= AGREE], agree[agree >= AGREE]
             if best_only and len(j):
@@ -309,7 +311,7 @@ def _still_apart(scratch: Scratch, blocks: DataFrame, buckets: DataFrame, labels
                          (-1 - F.least("chunk", "o")).alias("i"), F.greatest("chunk", "o").alias("j"))
     name = "best" if best_only else "rest"
     rare = fetch(scratch, blocks, scratch.write(met.select("row").distinct(), f"{name}_open"), _prefixes(similar), shared, f"{name}_rare")
-    known = rare.join(signatures.select(F.col("row").alias("s"), "samples"), F.col("row") == F.col("s")).select("s", "samples", "vector")
+    known = rare.join(signatures.select(F.col("row").alias("s"), "samples", "bands"), F.col("row") == F.col("s")).select("s", "samples", "bands", "vector")
     tasks = main.unionByName(across).unionByName(among).join(known, F.col("row") == F.col("s")).drop("s")
     return tasks.groupBy("band", "key", "i", "j").applyInArrow(_partners(best_only), "a long, b long")
 
@@ -337,19 +339,16 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
     leaders = leaders.select(F.col("band").alias("of_band"), F.col("key").alias("of_key"), "leader")
     buckets = scratch.write(buckets.join(leaders, (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key"))).select("band", "key", "row", "leader"), "buckets")
 
-    links = verified(scratch, blocks, buckets.where("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b")), idf, similar, "star")
-    labels = components(scratch, links, "star")
+    star = scratch.write(buckets.where("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct(), "star_apart")
+    labels = components(scratch, verified(scratch, blocks, star, idf, similar, "star"), "star")
+    tried = star
     for name, best_only in (("best", True), ("rest", False)):
-        more = scratch.write(_still_apart(scratch, blocks, buckets, labels, signatures, shared, similar, best_only), f"{name}_apart")
-        if more.isEmpty():
-            break
+        more = _still_apart(scratch, blocks, buckets, labels, signatures, shared, similar, best_only).distinct()
+        more = scratch.write(more.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"), f"{name}_apart")
         found = verified(scratch, blocks, more, idf, similar, name)
-        if found.isEmpty():
-            if best_only:
-                continue
-            break
-        links = links.unionByName(found)
-        labels = components(scratch, links, name)
+        tried = tried.unionByName(more)
+        if not found.isEmpty():
+            labels = joined(scratch, labels, found, name)
     rep = signed.join(texts.select(F.col("a").alias("ta"), F.col("b").alias("tb"), "rep"), (F.col("n_words") > 0) & (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left")
     return rep.join(labels, F.col("rep") == F.col("node"), "left").select("row", "doc_id", F.coalesce("label", "rep", "row").alias("group"))
 
