@@ -22,6 +22,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
 SKIP = frozenset("script style noscript template head title nav footer aside form button select option textarea iframe object svg canvas dialog menu audio video".split())
 MAIN = frozenset("article main".split())
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th tr figcaption".split())
 IN_HEAD = frozenset("head title style script noscript template base link meta".split())
 CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 # Words of class, id or role that mark boilerplate.
@@ -152,7 +153,11 @@ def main_text(html: str, sigma: float = 1.0) -> str:
             weight[e] = weight.get(e, 0) + len(lines[i][0])
             depth[e] = d
     total = sum(len(lines[i][0]) for i in chosen)
-    near = [e for e in weight if weight[e] >= 0.75 * total]
+    held: dict[int, int] = {}
+    for i in clean:
+        for e in lines[i][2]:
+            held[e] = held.get(e, 0) + 1
+    near = [e for e in weight if weight[e] >= 0.75 * total and p.kind[e] not in TEXT and (held[e] > 1 or len(clean) == 1)]
     mains = [e for e in near if p.kind[e] == "main"]
     outer = {e for i in chosen for e in [next((e for e in lines[i][2] if p.kind[e] == "main"), 0)] if e}
     if mains or outer:  # the innermost article that holds the text, else all outermost ones
