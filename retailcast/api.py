@@ -63,8 +63,10 @@ def train_forecast(model_input: DataFrame, forecast_days: int = K.DEFAULT_HORIZO
     ``model="additive"``: changepoint trend + Fourier seasonality, grouped fit.
     The frame also carries the train-only backtest fit.
     """
-    build = seasonal_frame if model == "seasonal" else map_frame
-    return build(model_input, horizon=forecast_days)
+    builders = {"seasonal": seasonal_frame, "additive": map_frame}
+    if model not in builders:
+        raise ValueError(f"model must be one of {sorted(builders)}, not {model!r}")
+    return builders[model](model_input, horizon=forecast_days)
 
 
 def evaluate_forecast(frame: DataFrame, holdout_days: int = K.HOLDOUT_DAYS) -> DataFrame:

@@ -78,10 +78,26 @@ def map_lookup(mapping: Mapping[str, str], key, default_to_key: bool = False) ->
 
 
 def reverse_lookup(mapping: Mapping[str, str], label) -> Column:
-    """Literal map lookup label -> id."""
+    """Literal map lookup label -> id; a label of several ids is an error (see ``scoped_reverse_lookup``)."""
+    if len(set(mapping.values())) < len(mapping):
+        raise ValueError("a label belongs to several ids; look it up within its scope")
     return map_lookup({v: k for k, v in mapping.items()}, label)
 
 
+def scoped_reverse_lookup(mapping: Mapping[str, Mapping[str, str]], scope, label) -> Column:
+    """Lookup label -> id inside a scope (such as a store's label inside its state).
+
+    ``mapping``: scope -> {id: label}; NULL for an unknown pair, an error for a label that
+    repeats within one scope.
+    """
+    pairs = [((s, v), k) for s, ids in mapping.items() for k, v in ids.items()]
+    if len({p for p, _ in pairs}) < len(pairs):
+        raise ValueError("a label repeats within its scope")
+    by_scope = F.create_map(*[x for s, ids in mapping.items() for x in (
+        F.lit(s), F.create_map(*[F.lit(y) for k, v in ids.items() for y in (v, k)]))])
+    return F.try_element_at(F.try_element_at(by_scope, _c(scope)), _c(label))
+
+
 def symmetric_ratio(ratio) -> Column:
     """``max(r, 1 / max(r, 0.01))``."""
     r = _c(ratio)

@@ -126,7 +126,12 @@ def fit_series(days: np.ndarray, y: np.ndarray) -> dict:
 
 
 def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("ds")
+    first = pdf.iloc[[0]]
+    # A day without a finite value tells nothing about the series: it is left out of the fit.
+    pdf = pdf[np.isfinite(pdf["y"].to_numpy(dtype=float))].sort_values("ds")
+    if pdf.empty:
+        return pd.DataFrame({"item_id": first["item_id"].to_list(), "store_id": first["store_id"].to_list(),
+                             "full": [None], "train": [None]})
     days = pdf["_day"].to_numpy(dtype=float)
     y = pdf["y"].to_numpy(dtype=float)
     train = pdf["_train"].to_numpy(dtype=bool)

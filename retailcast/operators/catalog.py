@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import demand_label, map_lookup, reverse_lookup
@@ -53,10 +53,6 @@ def departments_of_category(depts: DataFrame, cat_col: str = "cat_id",
     return depts.filter(F.col(dept_col).startswith(F.col(cat_col)))
 
 
-def departments_of(mapping_keys: DataFrame, cat_id: str, dept_col: str = "dept_id") -> DataFrame:
-    return mapping_keys.filter(F.col(dept_col).startswith(F.lit(cat_id))).orderBy(dept_col)
-
-
 def stores_of_state(stores: DataFrame, state_id: str | None = None) -> DataFrame:
     """State -> its stores (J8), sorted."""
     df = stores.select("state_id", "store_id").distinct()
@@ -65,10 +61,8 @@ def stores_of_state(stores: DataFrame, state_id: str | None = None) -> DataFrame
     return df.orderBy("state_id", "store_id")
 
 
-def stores_by_state_map(mapping: Mapping[str, list[str]]) -> DataFrame:
+def stores_by_state_map(spark: SparkSession, mapping: Mapping[str, list[str]]) -> DataFrame:
     """Explode a literal state -> [stores] mapping into rows."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     return spark.range(1).select(F.explode(m).alias("state_id", "stores")) \
         .select("state_id", F.explode("stores").alias("store_id"))

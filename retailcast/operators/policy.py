@@ -27,6 +27,16 @@ class PolicyParams:
     z: float = K.Z_SERVICE  # the service level is fixed at 95 %
 
 
+def check_horizon(frame: DataFrame, params: PolicyParams | Sequence[PolicyParams]) -> None:
+    """Raise if more days are asked for than the frame forecasts (its horizon is kept as
+    metadata of ``is_future``); a frame without that note is taken as it is."""
+    horizon = frame.schema["is_future"].metadata.get("horizon")
+    sets = [params] if isinstance(params, PolicyParams) else list(params)
+    most = max(p.forecast_days for p in sets)
+    if horizon is not None and most > horizon:
+        raise ValueError(f"forecast_days={most}, but the frame holds {horizon} future days; build it with a longer horizon")
+
+
 def with_params(frame: DataFrame, params: PolicyParams | Sequence[PolicyParams]) -> DataFrame:
     """Attach parameter columns.  A list of parameter sets fans every row out
     once per set (a literal-array generator: no join, the set list is tiny and
@@ -46,6 +56,7 @@ def with_params(frame: DataFrame, params: PolicyParams | Sequence[PolicyParams])
 
 def future_days(frame: DataFrame, params: PolicyParams | Sequence[PolicyParams] = PolicyParams()) -> DataFrame:
     """The forecast days after the last observation, clipped at 0."""
+    check_horizon(frame, params)
     fr = with_params(frame.filter(F.col("is_future")), params)
     return (fr.withColumn("h", F.date_diff("ds", "last_ds"))
             .filter(F.col("h") <= F.col("forecast_days"))
@@ -112,6 +123,7 @@ def series_summary(frame: DataFrame,
     series-partitioned frame, so the frame is read once and nothing is joined.
     """
     from .evaluate import metric_aggs, metric_columns
+    check_horizon(frame, params)
     fr = with_params(frame, params)
     fut = F.col("is_future") & (F.date_diff("ds", "last_ds") <= F.col("forecast_days"))
     yh = F.when(fut, clip0("yhat"))

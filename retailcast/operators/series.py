@@ -19,7 +19,7 @@ def by_series(*extra: str):
 
 
 def single_series(df: DataFrame, item_id: str, store_id: str) -> DataFrame:
-    """One item at one store (F2); both predicates reach the Parquet scan."""
+    """One item at one store (F2); a stored series table prunes by them, a derived frame is filtered."""
     return df.filter((F.col("item_id") == F.lit(item_id)) & (F.col("store_id") == F.lit(store_id)))
 
 
@@ -83,7 +83,8 @@ def extend_with_horizon(df: DataFrame, horizon, is_last: Column, ds_col: str = "
     days = F.when(is_last, F.sequence(d0, F.date_add(d0, h))).otherwise(F.array(d0))
     return (df.withColumnRenamed(ds_col, "_ds0")
             .withColumn(ds_col, F.explode(days.cast("array<date>")))
-            .withColumn("is_future", F.col(ds_col) > F.col("_ds0")))
+            .withColumn("is_future", (F.col(ds_col) > F.col("_ds0"))
+                        .alias("is_future", metadata={"horizon": int(horizon)})))
 
 
 def future_spine(df: DataFrame, horizon: int) -> DataFrame:

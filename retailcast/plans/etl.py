@@ -9,10 +9,10 @@ from ..operators.reshape import melt
 
 
 def attach_calendar(long: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Left join on ``d`` (J1).  The calendar has one row per day -- its size
-    is bounded by the date span, never by the data -- so it is broadcast."""
+    """Left join on ``d`` (J1).  No hint: a calendar of one row per day is broadcast by its
+    measured size, another one isn't."""
     cal = calendar.select("d", F.col("date").cast("date").alias("date"), "wm_yr_wk")
-    return long.join(F.broadcast(cal), "d", "left")
+    return long.join(cal, "d", "left")
 
 
 def attach_prices(long: DataFrame, prices: DataFrame) -> DataFrame:

@@ -112,8 +112,7 @@ def line_facts(spark: SparkSession, sf_dir: str, grain: str = FORECAST) -> DataF
 def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item, store, ds) -> units, and the open-line price sum/count.
 
-    The single shuffle over line items; every forecast-grain input below is
-    derived from this table.
+    Every forecast-grain input below is derived from this table.
     """
     facts = line_facts(spark, sf_dir, FORECAST)
     is_open = F.col("ls") == "O"

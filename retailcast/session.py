@@ -3,12 +3,11 @@
 The session turns on adaptive query execution (runtime broadcast of sides that
 turn out small, skew-join splitting, partition coalescing) and keeps the UI off.
 A checkpoint folder is taken from ``spark.checkpoint.dir`` when the cluster
-names one; a private scratch folder is only created when it is unset (tests).
+names one; only a local session (tests) gets a private one when it is unset.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="retailcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -64,8 +65,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)

@@ -1,7 +1,7 @@
 """CSV and Parquet sources and the curated-table sink.
 
-No schema inference: every table has a fixed ``StructType``; the wide sales
-file gets its schema from its header line (six string ids, one int per day).
+No schema inference: CSV columns are found by their header names and their cells are
+converted with a check, so a bad cell stops the read and nothing turns NULL unseen.
 """
 
 from __future__ import annotations
@@ -10,49 +10,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import ID_COLUMNS
-
-CALENDAR_SCHEMA = T.StructType([
-    T.StructField("d", T.StringType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("wm_yr_wk", T.IntegerType()),
-])
-
-PRICES_SCHEMA = T.StructType([
-    T.StructField("store_id", T.StringType()),
-    T.StructField("item_id", T.StringType()),
-    T.StructField("wm_yr_wk", T.IntegerType()),
-    T.StructField("sell_price", T.DoubleType()),
-])
+from ..functions.scalar import nan_to_null
 
 # Columns the planning views keep from the curated table.
 CURATED_COLUMNS = ["item_id", "store_id", "state_id", "cat_id", "dept_id", "date", "sales",
                    "sell_price"]
 
 
-def wide_schema(header: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType() if c in ID_COLUMNS else T.IntegerType())
-                         for c in header])
+def _by_header(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with all columns as text, named by the header (quoted names too); a row with another
+    number of cells is an error."""
+    return spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+
+
+def _number(c: str, kind: str = "double") -> Column:
+    """A numeric cell: ``3.0`` is a whole number, empty and NaN are NULL, anything else is an error.
+
+    Cast without ``try``: a cell that is no number stops the job instead of becoming NULL.
+    """
+    text = F.trim(F.col(f"`{c}`"))
+    value = nan_to_null(F.when(text != "", text).try_cast("double"))
+    bad = (text != "") & text.try_cast("double").isNull()
+    if kind == "int":
+        bad = bad | (value != F.floor(value))
+        value = value.cast("int")
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"column {c} holds no {kind}: "), text))).otherwise(value).cast(kind).alias(c)
 
 
 def read_sales_wide_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Wide sales CSV: the header (first line only) fixes the schema."""
-    first = spark.read.text(path).limit(1).first()
-    header = first[0].split(",") if first else []
-    return spark.read.schema(wide_schema(header)).option("header", True).csv(path)
+    """Wide sales CSV: text ids, and a whole number for every other column of the header."""
+    raw = _by_header(spark, path)
+    return raw.select(*[F.col(f"`{c}`") if c in ID_COLUMNS else _number(c, "int") for c in raw.columns])
 
 
 def read_calendar_csv(spark: SparkSession, path: str) -> DataFrame:
     """Calendar CSV; only ``d, date, wm_yr_wk`` are used (other columns ignored)."""
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select(F.col("d"), F.to_date("date").alias("date"),
-                      F.col("wm_yr_wk").cast("int").alias("wm_yr_wk"))
+    raw = _by_header(spark, path)
+    return raw.select(F.col("d"), F.to_date("date").alias("date"), _number("wm_yr_wk", "int"))
 
 
 def read_prices_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PRICES_SCHEMA).option("header", True).csv(path)
+    """Prices by column name, whatever their order in the file."""
+    raw = _by_header(spark, path)
+    return raw.select("store_id", "item_id", _number("wm_yr_wk", "int"), _number("sell_price"))
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,

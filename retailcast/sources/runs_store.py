@@ -2,8 +2,8 @@
 ``forecast_daily`` linked by ``run_id`` (S7-S10).
 
 Writes append.  The daily rows are written first and the run rows second, so a
-visible run always has its days.  New ids continue from the stored maximum
-(a scalar subquery, no driver round trip); the new runs are checkpointed into
+visible run always has its days.  New ids continue from the largest of both
+tables (a scalar subquery, no driver round trip), so a save that failed halfway leaves no id to reuse; the new runs are checkpointed into
 the shared checkpoint folder before the two writes so both see the same ids.
 A single writer is assumed, as with the embedded table it replaces.
 """
@@ -11,7 +11,6 @@ A single writer is assumed, as with the embedded table it replaces.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,33 +49,34 @@ DAILY_SCHEMA = T.StructType([
 ])
 
 
-def _exists(path: str) -> bool:
-    return os.path.exists(os.path.join(path, "_SUCCESS")) or (
-        os.path.isdir(path) and any(n.endswith(".parquet") for n in os.listdir(path)))
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table's folder exists, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 class RunStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self.runs_path = os.path.join(root, "forecast_runs")
-        self.daily_path = os.path.join(root, "forecast_daily")
+        self.runs_path = f"{root.rstrip('/')}/forecast_runs"
+        self.daily_path = f"{root.rstrip('/')}/forecast_daily"
 
     # S7 -----------------------------------------------------------------
     def init(self) -> None:
         """Create both tables (empty, typed) if absent."""
         for path, schema in ((self.daily_path, DAILY_SCHEMA), (self.runs_path, RUNS_SCHEMA)):
-            if not _exists(path):
+            if not _exists(self.spark, path):
                 self.spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
     # S10 ----------------------------------------------------------------
     def runs(self) -> DataFrame:
-        if not _exists(self.runs_path):
+        if not _exists(self.spark, self.runs_path):
             return self.spark.createDataFrame([], RUNS_SCHEMA)
         return self.spark.read.schema(RUNS_SCHEMA).parquet(self.runs_path)
 
     def daily(self) -> DataFrame:
-        if not _exists(self.daily_path):
+        if not _exists(self.spark, self.daily_path):
             return self.spark.createDataFrame([], DAILY_SCHEMA)
         return self.spark.read.schema(DAILY_SCHEMA).parquet(self.daily_path)
 
@@ -87,7 +87,8 @@ class RunStore:
         """Append one run per policy row and its future days; returns the new runs."""
         self.init()
         run_at = run_at or _dt.datetime.now().replace(microsecond=0)
-        start = R.next_run_id(self.runs())
+        # Days of a save whose run rows were never written still use up their ids.
+        start = R.next_run_id(self.runs().select("run_id").unionByName(self.daily().select("run_id")))
         new_runs = cut_lineage(R.build_runs(policy, metrics, run_at, start))
         days = future_days(frame, params)
         R.build_daily(days, new_runs).write.mode("append").parquet(self.daily_path)

@@ -30,7 +30,7 @@ def test_prefix_and_stores_F4_J8(spark):
                                   "cat_id string, dept_id string")
     got = C.departments_of_category(depts).filter("cat_id = 'HOBBIES'")
     assert sorted(r.dept_id for r in got.collect()) == ["HOBBIES_1", "HOBBIES_2"]
-    st = C.stores_by_state_map(K.STORES_BY_STATE)
+    st = C.stores_by_state_map(spark, K.STORES_BY_STATE)
     assert [r.store_id for r in st.filter("state_id = 'TX'").orderBy("store_id").collect()] == ["TX_1", "TX_2", "TX_3"]
     assert C.stores_of_state(sales(spark), "TX").count() == 1
 
