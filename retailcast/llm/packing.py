@@ -22,7 +22,7 @@ from .shared import Scratch
 PIECE = [("doc_id", "long"), ("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")]
 PLACED = PIECE + [("sequence_id", "long"), ("offset", "long"), ("open", "boolean")]
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
-KEEP_WORDS = 1_500_000  # in a worker: some 200 MB
+KEEP_WORDS = 800_000  # in a worker: some 100 MB
 
 
 def _schema(columns) -> str:
