@@ -52,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="retailcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

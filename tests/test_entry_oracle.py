@@ -1,5 +1,6 @@
 """Driver contract and a DuckDB cross-check of the registered queries at sf0.001."""
 import math
+import re
 
 import duckdb
 import pytest
@@ -20,7 +21,8 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_map():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"forecast_map", "policy_map"}
+    # the training-data queries (where installed) are held against brute force in tests/llm
+    assert {n for n in set(q) - set(o) if not re.match(r"op\d+_|pipeline$", n)} == {"forecast_map", "policy_map"}
 
 
 def _norm(v):
