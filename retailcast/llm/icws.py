@@ -184,29 +184,39 @@ def _vectors(block: Block, rows: list[int], _) -> list[tuple]:
 
 
 def _prefixes(similar: float):
-    """(row, its rarest shingles) of the asked rows, as many as weigh more than 1 - ``similar`` of all.
+    """(row, total weight, its rarest shingles and their weights) of the asked rows, as many as weigh
+    more than 1 - ``similar`` of all.
 
     Two documents as similar as that share at least one of those, whatever the order, if it is
     the same for all (here: by the features' counts): what is left of either could not hold a
-    large enough common part.
+    large enough common part.  Shingles are shortened to 32 bits; those that then coincide are one.
     """
 
     def run(block: Block, rows: list[int], shared) -> list[tuple]:
-        idf, counts = shared
+        idf, place = shared
         rows, doc, h = _chosen(block, rows)
         d, s, tf = distinct_shingles(doc, h)
-        order = np.lexsort((s, counts[feature(s)], d))
+        order = np.lexsort((s, place[feature(s)], d))
         d, s, w = d[order], s[order], (tf * idf[feature(s)].astype(np.float64))[order]
+        short = (s >> U64(32)).astype("<u4")
+        new = np.append(True, (d[1:] != d[:-1]) | (short[1:] != short[:-1])) if len(d) else np.zeros(0, bool)
+        d, short, w = d[new], short[new], np.add.reduceat(w, np.flatnonzero(new)) if len(d) else w
         at = np.searchsorted(d, np.arange(len(rows) + 1))
         before = np.concatenate([[0], np.cumsum(w)])
-        total = (before[at[1:]] - before[at[:-1]])[d]
-        taken = before[:-1] - before[at[:-1]][d] <= (1 - similar) * total * (1 + 1e-9)
-        short = (s >> U64(32)).astype("<u4")
-        return [(r, short[a:b][taken[a:b]].tobytes()) for r, a, b in zip(rows, at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        total = before[at[1:]] - before[at[:-1]]
+        taken = before[:-1] - before[at[:-1]][d] <= (1 - similar) * total[d] * (1 + 1e-9)
+        return [(r, x.astype("<f8").tobytes() + short[a:b][taken[a:b]].tobytes() + w[a:b][taken[a:b]].astype("<f4").tobytes())
+                for r, x, a, b in zip(rows, total, at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
     return run
 
 
+def _unpacked(p: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles and weights of a prefix; its first 8 bytes are the total weight."""
+    n = (len(p) - 8) // 8
+    return np.frombuffer(p, "<u4", n, 8), np.frombuffer(p, "<f4", n, 8 + 4 * n).astype(np.float64)
+
+
 def fetch(scratch: Scratch, blocks: DataFrame, rows: DataFrame, what, shared, name: str) -> DataFrame:
     """(row, vector): ``what(block, asked rows, shared value)`` of the blocks that hold asked rows."""
 
@@ -252,49 +262,57 @@ def verified(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, idf, similar
     return out
 
 
-def _partners(best_only: bool):
-    """Pairs of different components in a part of a bucket that may be similar enough: they share
-    a rare shingle (``_prefixes``), and their samples agree often enough.
+def _partners(best_only: bool, similar: float, shared):
+    """Pairs of different components in a part of a bucket that may be similar enough: their
+    common weight can reach what ``similar`` asks, and their samples agree often enough.
 
-    With ``best_only`` each document names its best partner in each other component.
+    The common weight is at most that of the shingles in both prefixes, and all that the
+    document whose prefix ends first holds after its end.
+    With ``best_only`` each document names its best partner only.
     """
 
     def run(t: pa.Table) -> pa.Table:
+        place = shared.value[1]
         row, label, side = (t.column(c).to_numpy() for c in ("row", "label", "side"))
         sig = np.frombuffer(b"".join(t.column("samples").to_pylist()), dtype="<u4").reshape(len(row), -1)
         bands, band = np.array(t.column("bands").to_pylist(), dtype=np.int64), t.column("band")[0].as_py()
-        rare = [np.frombuffer(p, dtype="<u4") for p in t.column("vector").to_pylist()]
-        holds = side != 0  # documents that may be a partner
-        number = np.repeat(np.arange(len(row)), [len(x) if ok else 0 for x, ok in zip(rare, holds.tolist(), strict=True)])
-        token = np.concatenate([np.zeros(0, "<u4"), *[x for x, ok in zip(rare, holds.tolist(), strict=True) if ok]])
+        vectors = t.column("vector").to_pylist()
+        rare = [_unpacked(p) for p in vectors]
+        total = np.array([np.frombuffer(p, "<f8", 1)[0] for p in vectors])
+        after = total - np.array([w.sum() for _, w in rare])
+        ends = np.array([x[-1] for x, _ in rare], dtype=np.int64)
+        ends = (place[ends >> (32 - FEATURE_BITS)] << 32) | ends
+        holds = np.flatnonzero(side != 1)  # documents that may be a partner
+        number = np.repeat(holds, [len(rare[i][0]) for i in holds.tolist()])
+        token = np.concatenate([np.zeros(0, "<u4"), *[rare[i][0] for i in holds.tolist()]])
+        weight = np.concatenate([np.zeros(0), *[rare[i][1] for i in holds.tolist()]])
         order = np.argsort(token, kind="stable")
-        token, number = token[order], number[order]
+        token, number, weight = token[order], number[order], weight[order]
         out = set()
-        for i in np.flatnonzero(side != 1).tolist():
-            a, b = np.searchsorted(token, rare[i]), np.searchsorted(token, rare[i], side="right")
+        for i in np.flatnonzero(side != 0).tolist():
+            x, w = rare[i]
+            a, b = np.searchsorted(token, x), np.searchsorted(token, x, side="right")
             n = b - a
             at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-            j = np.unique(number[at])
+            common = np.bincount(number[at], np.minimum(weight[at], np.repeat(w, n)), minlength=len(row))
+            j = np.flatnonzero(common)
             j = j[label[j] != label[i]]
             j = j[(bands[j] == bands[i]).argmax(1) == band]  # a pair is named in its first common band
+            most = common[j] + np.where(ends[j] < ends[i], after[j], after[i])
+            j = j[most * (1 + similar) >= similar * (total[j] + total[i]) * (1 - 1e-5)]
             agree = (sig[j] == sig[i]).sum(1)
             j, agree = j[agree >= AGREE], agree[agree >= AGREE]
-            if best_only and len(j):
-                order_ = np.lexsort((row[j], -agree, label[j]))
-                j = j[order_][np.append(True, label[j][order_][1:] != label[j][order_][:-1])]
+            if best_only:
+                j = j[np.lexsort((row[j], -agree))[:1]]
             out |= {(min(int(row[i]), b), max(int(row[i]), b)) for b in row[j].tolist()}
         return rows_table(list(out), "a long, b long")
 
     return run
 
 
-def _still_apart(scratch: Scratch, blocks: DataFrame, buckets: DataFrame, labels: DataFrame, signatures: DataFrame, shared, similar: float, best_only: bool) -> DataFrame:
-    """Candidate pairs across components that share a bucket.
-
-    A bucket's largest component and the others are cut into chunks that meet pairwise, but
-    chunks of the largest component never meet each other: its rows are copied as often as
-    the others have chunks (mostly once).
-    """
+def _open_buckets(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, with the bucket's largest one (``main``)
+    and the numbers of chunks that this one and the others are cut into."""
     named = buckets.join(labels, F.col("row") == F.col("node"), "left").select("band", "key", "row", F.coalesce("label", "row").alias("label"))
     sizes = named.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
     most = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
@@ -302,18 +320,24 @@ def _still_apart(scratch: Scratch, blocks: DataFrame, buckets: DataFrame, labels
                                                              F.ceil(F.col("top.n") / CHUNK).cast("int").alias("mains"), F.ceil((F.col("all") - F.col("top.n")) / CHUNK).cast("int").alias("others"))
     met = named.join(most, (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key")))
     mine = F.when(F.col("label") == F.col("main"), F.pmod(F.xxhash64("row"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("row"), F.col("others"))).cast("int")
-    met = met.withColumn("chunk", mine)
+    return met.withColumn("chunk", mine).drop("of_band", "of_key")
+
+
+def _still_apart(met: DataFrame, known: DataFrame, shared, similar: float, best_only: bool) -> DataFrame:
+    """Candidate pairs across components that share a bucket.
+
+    A bucket's largest component and the others are cut into chunks that meet pairwise, but
+    chunks of the largest component never meet each other: its rows are copied as often as
+    the others have chunks (mostly once).
+    """
     main = met.where(F.col("label") == F.col("main")).select("band", "key", "row", "label", F.lit(0).alias("side"), F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("j"))
     rest = met.where(F.col("label") != F.col("main"))
     across = rest.select("band", "key", "row", "label", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("mains") - 1)).alias("i"), F.col("chunk").alias("j"))
     other = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     among = other.select("band", "key", "row", "label", F.when(F.col("chunk") == F.col("o"), 2).when(F.col("chunk") < F.col("o"), 0).otherwise(1).alias("side"),
                          (-1 - F.least("chunk", "o")).alias("i"), F.greatest("chunk", "o").alias("j"))
-    name = "best" if best_only else "rest"
-    rare = fetch(scratch, blocks, scratch.write(met.select("row").distinct(), f"{name}_open"), _prefixes(similar), shared, f"{name}_rare")
-    known = rare.join(signatures.select(F.col("row").alias("s"), "samples", "bands"), F.col("row") == F.col("s")).select("s", "samples", "bands", "vector")
     tasks = main.unionByName(across).unionByName(among).join(known, F.col("row") == F.col("s")).drop("s")
-    return tasks.groupBy("band", "key", "i", "j").applyInArrow(_partners(best_only), "a long, b long")
+    return tasks.groupBy("band", "key", "i", "j").applyInArrow(_partners(best_only, similar, shared), "a long, b long")
 
 
 def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
@@ -322,7 +346,7 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
     counts = frequencies(scratch, blocks)
     n = int(blocks.agg(F.sum("n_rows")).first()[0] or 0)
     idf = spark.sparkContext.broadcast(inverse_frequency(n, counts))
-    shared = spark.sparkContext.broadcast((inverse_frequency(n, counts), counts))
+    shared = spark.sparkContext.broadcast((inverse_frequency(n, counts), np.argsort(np.argsort(counts, kind="stable"))))
     table = gamma2_table()
     tables = spark.sparkContext.broadcast((table, np.log(table)))
     signed = scratch.write(each_block(blocks, _signatures(idf, tables), SIGNATURE), "signatures", batch_rows=4)
@@ -341,9 +365,14 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
 
     star = scratch.write(buckets.where("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct(), "star_apart")
     labels = components(scratch, verified(scratch, blocks, star, idf, similar, "star"), "star")
+    met = scratch.write(_open_buckets(buckets, labels), "open")
+    rare = fetch(scratch, blocks, met, _prefixes(similar), shared, "rare")
+    known = rare.join(signatures.select(F.col("row").alias("s"), "samples", "bands"), F.col("row") == F.col("s")).select("s", "samples", "bands", "vector")
     tried = star
     for name, best_only in (("best", True), ("rest", False)):
-        more = _still_apart(scratch, blocks, buckets, labels, signatures, shared, similar, best_only).distinct()
+        if not best_only:
+            met = _open_buckets(buckets, labels)
+        more = _still_apart(met, known, shared, similar, best_only).distinct()
         more = scratch.write(more.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"), f"{name}_apart")
         found = verified(scratch, blocks, more, idf, similar, name)
         tried = tried.unionByName(more)

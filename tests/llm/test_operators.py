@@ -141,6 +141,38 @@ def test_near_duplicates(docs_of):
     assert near_duplicates(empty(docs_of)).count() == 0
 
 
+def test_classes_are_components_of_similar_texts(docs_of, monkeypatch):
+    """Families of copies that differ from each other by more and less than the limit, in chunks of a few rows."""
+    monkeypatch.setattr(icws, "CHUNK", 7)
+    r, rows = random.Random(11), []
+    for f in range(4):
+        base = [f"w{f}_{i}" for i in range(260)]
+        for i in range(24):
+            own = base[:]
+            for k in r.sample(range(260), r.choice((2, 3, 5, 6))):
+                own[k] = f"x{f}_{i}_{k}"
+            rows.append((len(rows), " ".join(own), "s"))
+    rows += [(len(rows) + i, " ".join(f"y{i}_{k}" for k in range(12)), "s") for i in range(220)]
+    grams = [set(zip(*[t.split()[i:] for i in range(5)])) for _, t, _ in rows]
+    top = list(range(len(rows)))
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    apart = 0
+    for a in range(96):
+        for b in range(a + 1, 96):
+            if a // 24 == b // 24:
+                near = len(grams[a] & grams[b]) >= icws.SIMILAR * len(grams[a] | grams[b])
+                apart += not near
+                if near:
+                    top[max(root(a), root(b))] = min(root(a), root(b))
+    assert apart > 300  # all shingles weigh alike here: none is in a tenth of the documents
+    assert {r["doc_id"]: r["class_id"] for r in near_duplicates(docs_of(rows)).collect()} == {i: root(i) for i in range(len(rows))}
+
+
 def test_samples_collide_like_weighted_jaccard():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 2**63, 300).astype(np.uint64)
