@@ -8,7 +8,7 @@ rounded the same way as on the Spark side (``round(x * 1e6) / 1e6``).
 from __future__ import annotations
 
 from ..constants import BAND_Z
-from .queries import CATEGORY_NAMES, ONE_SERIES, RUN_BATCHES, RUNS_STORE, RUNS_TOP_N
+from .queries import CATEGORY_NAMES, ONE_RUN, ONE_SERIES, RUN_BATCHES, RUNS_STORE, RUNS_TOP_N
 
 
 def r(expr: str, places: int = 6) -> str:
@@ -290,6 +290,9 @@ SELECT DISTINCT column_name, value FROM (
 ORDER BY column_name, value"""
     q["daily_total"] = w(base) + """
 SELECT date, cast(sum(sales) AS BIGINT) AS total_sales FROM sales_clean GROUP BY date ORDER BY date"""
+    q["daily_labels"] = w(base) + """
+SELECT date, strftime(date, '%b %d, %Y') AS label, cast(sum(sales) AS BIGINT) AS total_sales
+FROM sales_clean GROUP BY date ORDER BY date"""
     q["demand_summary"] = w(CATALOG) + f"""
 SELECT item_id, cat_id, dept_id, {r('avg_daily_demand')} AS avg_daily_demand FROM summary"""
     q["dept_products_ranked"] = w(CATALOG) + f"""
@@ -445,6 +448,12 @@ SELECT r.run_id, r.item_id, r.store_id, f.ds, {r('f.yhat')} AS yhat,
        {r('r.rop')} AS rop, {r('r.safety_stock')} AS safety_stock
 FROM runs r JOIN future f ON f.item_id = r.item_id AND f.store_id = r.store_id
                          AND f.param_set = r.param_set"""
+    q["run_forecast"] = fru + f"""
+SELECT f.ds, {r('f.yhat')} AS yhat, {r('f.yhat_lower')} AS yhat_lower,
+       {r('f.yhat_upper')} AS yhat_upper
+FROM runs r JOIN future f ON f.item_id = r.item_id AND f.store_id = r.store_id
+                         AND f.param_set = r.param_set
+WHERE r.run_id = {ONE_RUN} ORDER BY f.ds"""
     return q
 
 

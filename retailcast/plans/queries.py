@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..constants import SERIES
-from ..functions.scalar import r6, round_half_up
+from ..functions.scalar import date_label, r6, round_half_up
 from ..operators import catalog as C
 from ..operators import compare as CMP
 from ..operators import evaluate as E
@@ -37,6 +37,7 @@ from . import fixtures as fx
 ONE_SERIES = ("Brand#13", "EUROPE")          # single-series filter (F2)
 RUNS_STORE = "EUROPE"                        # store filter of the saved-runs query (F5)
 RUNS_TOP_N = 10                              # top-n by demand (T2)
+ONE_RUN = 7                                  # saved run looked up by its id (F8)
 RUN_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)   # saved-run clock: RUN_AT + run_id minutes
 # Three saved batches: defaults, then a short and a long horizon.
 RUN_BATCHES = [
@@ -158,6 +159,10 @@ def q_daily_total(i: Inputs) -> DataFrame:
     return (i.clean.groupBy("date").agg(F.sum("sales").alias("total_sales")).orderBy("date"))
 
 
+def q_daily_labels(i: Inputs) -> DataFrame:
+    return q_daily_total(i).select("date", date_label("date").alias("label"), "total_sales")
+
+
 # -- catalog -----------------------------------------------------------------
 
 def q_demand_summary(i: Inputs) -> DataFrame:
@@ -308,6 +313,11 @@ def q_run_detail(i: Inputs) -> DataFrame:
                       *[round_half_up(c, 6).alias(c) for c in ["rop", "safety_stock"]])
 
 
+def q_run_forecast(i: Inputs) -> DataFrame:
+    days = R.run_forecast(i.daily_runs(), ONE_RUN)
+    return _round_cols(days, {"yhat", "yhat_lower", "yhat_upper"})
+
+
 REGISTRY = {
     "melt_sales": q_melt_sales,
     "sales_clean": q_sales_clean,
@@ -316,6 +326,7 @@ REGISTRY = {
     "profile_range": q_profile_range,
     "distinct_sorted": q_distinct_sorted,
     "daily_total": q_daily_total,
+    "daily_labels": q_daily_labels,
     "demand_summary": q_demand_summary,
     "dept_products_ranked": q_dept_products_ranked,
     "dept_by_category_prefix": q_dept_by_category_prefix,
@@ -343,6 +354,7 @@ REGISTRY = {
     "runs_kpis": q_runs_kpis,
     "runs_sorted_nulls_last": q_runs_sorted_nulls_last,
     "run_detail": q_run_detail,
+    "run_forecast": q_run_forecast,
 }
 
 
