@@ -125,7 +125,9 @@ def judge(spark, docs: DataFrame, id_col: str, text_col: str, host_col: str, lea
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
-LIMITS = {"least": 100, "share": 0.01, "keep_share": 0.2, "min_words": 20, "max_repeat": 30}
+# The share of the host decides at every size; ``least`` only keeps a few chance repeats in a host
+# of under 500 texts from counting as boilerplate.
+LIMITS = {"least": 5, "share": 0.01, "keep_share": 0.2, "min_words": 20, "max_repeat": 30}
 
 
 def keep_good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
