@@ -18,7 +18,7 @@ from retailcast.llm.line_dedup import PerfectHash, dedup_lines
 from retailcast.llm.line_freq import keep_good_documents, quality_rules
 from retailcast.llm.mixing import mix_sources
 from retailcast.llm.queries import tokenizer_file
-from retailcast.llm.secret_scan import guess_bits, scan_secrets
+from retailcast.llm.secret_scan import common_words, guess_bits, scan_secrets
 from retailcast.llm.suffix_dedup import dedup_substrings
 from retailcast.llm.va_search import search
 
@@ -243,6 +243,33 @@ def test_secret_scan(docs_of):
     assert scan_secrets(empty(docs_of)).count() == 0
 
 
+def test_secret_scan_leaves_prose_alone(docs_of):
+    prose = ["The password is encrypted", "A secret is knowing when to stop", "Her secret is wonderful.", "Authorization is required here",
+             "The token is zorblequent at night", 'password: "abcabcabcabc"', "pin: 121212121212", "secret: Summer2019!"]
+    found = ['passphrase: "blue fish runs home"', "passphrase = 'blue fish runs home' and more", 'secret: "kX9#v \\" Q2$mL7"', 'pwd: "kX9#vQ2$mL7!zR and', "pwd: qzxvkwpjyf"]
+    value = ["blue fish runs home", "blue fish runs home", 'kX9#v \\" Q2$mL7', "kX9#vQ2$mL7!zR", "qzxvkwpjyf"]
+    rows = [(i, t, "s") for i, t in enumerate(prose + found)] + [(50 + i, f"a zorblequent day, the {i}th", "s") for i in range(3)]
+    rows += [(60 + i, "pwd: qzxvkwpjyf", "s") for i in range(9)]  # copies make no word of it
+    got = {r["doc_id"]: [t[x["start"]:x["end"]] for x in r["secret_spans"] if x["kind"] == "guess"] for r in scan_secrets(docs_of(rows)).collect() for t in [r["text"]]}
+    assert [got[i] for i in range(len(prose))] == [[] for _ in prose]
+    assert [got[len(prose) + i] for i in range(len(found))] == [[v] for v in value] and got[60] == ["qzxvkwpjyf"] and got[50] == []
+
+
+def test_repeats_are_priced_as_their_block():
+    assert guess_bits("qzvqzvqzvqzv") == pytest.approx(guess_bits("qzv") + 2 + 1)
+    assert guess_bits("K7" * 3 + "x") <= guess_bits("K7") + math.log2(3) + 1 + math.log2(26)
+    assert guess_bits("passpassword") <= guess_bits("pass") + guess_bits("password")
+    assert guess_bits("zq#" * 3000) < 40 and guess_bits("k" * 200_000) < 32
+
+
+def test_common_words_keep_their_bound(docs_of):
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(20)]
+    rows = [(d, " ".join(words[:120 >> d]) + " password: leakedsecretword", "s") for d in range(6)]
+    assert common_words(docs_of(rows), "text") == sorted(words[:60], key=lambda w: (-sum(words.index(w) < 120 >> d for d in range(6)), w))
+    assert common_words(docs_of(rows), "text", most=20) == sorted(words[:15], key=lambda w: (-sum(words.index(w) < 120 >> d for d in range(6)), w))
+    assert common_words(docs_of(rows), "text", most=2) == []
+
+
 def test_source_mix(docs_of):
     got = mix_sources(docs_of(ROWS)).collect()
     sizes = Counter()
