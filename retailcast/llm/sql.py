@@ -23,4 +23,11 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM j GROUP BY r, doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_va_search": OP1, "op10_line_dedup": OP10}
+OP11 = """
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS h FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       row_number() OVER (PARTITION BY h ORDER BY doc_id NULLS LAST) = 1 AS kept, h AS text_sha256
+FROM d
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_va_search": OP1, "op10_line_dedup": OP10, "op11_exact_dedup": OP11}
