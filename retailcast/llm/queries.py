@@ -16,6 +16,7 @@ from .line_freq import quality_rules
 from .mixing import mix_sources
 from .packing import pack_documents
 from .secret_scan import scan_secrets
+from .setm import collocations
 from .suffix_dedup import dedup_substrings
 from .va_search import search
 
@@ -88,6 +89,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op3_weighted_minhash, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup, op11_exact_dedup)
+    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op3_weighted_minhash, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup, op11_exact_dedup, op13_collocations)
 }
