@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversation_repair import repair_conversations
 from .debruijn import dedup_passages
 from .exact_dedup import exact_duplicates
 from .html_text import extract_main_text
@@ -89,10 +90,14 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(_table(spark, sf_dir, "conversations"), damage=True)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op3_weighted_minhash, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup, op11_exact_dedup, op13_collocations)
+    f.__name__: f for f in (op1_va_search, op2_passage_dedup, op3_weighted_minhash, op4_line_frequency, op5_secret_scan, op6_source_mix, op7_best_fit_packing, op8_suffix_dedup, op9_main_text, op10_line_dedup, op11_exact_dedup, op12_conversation_repair, op13_collocations)
 }
