@@ -40,7 +40,7 @@ def dept_products(summary: DataFrame, dept_id: str | None = None, top: int | Non
                                                   F.col("item_id"))
         df = df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
     else:
-        # full ranking: a large department is split by value range first
+        # full ranking: ranges over (department, demand, item), so ties split too
         df = rank_within(df, "dept_id", "avg_daily_demand", "item_id")
     if with_label:
         df = df.withColumn("label", demand_label("item_id", "avg_daily_demand"))

@@ -1,64 +1,76 @@
-"""Dense sequential ids without a global single-partition window.
+"""Dense ids and ranks over ranges of the sort key.
 
-``row_number().over(Window.orderBy(...))`` moves every row into one task.
-Instead the rows are numbered inside buckets (a prefix of the sort key, e.g.
-``(param_set, item_id)``) and each bucket gets an offset from a running sum
-over the per-bucket counts.  Only the count table -- one row per bucket --
-is ordered globally; the rows themselves stay distributed.
+``row_number().over(Window.orderBy(...))`` moves every row into one task, and a rank inside a
+group moves the whole group.  Here the rows are range-partitioned by the full sort key, ties
+included, so Spark samples the split points from the data and every task gets an even range,
+however many rows share a group or a value.  Inside a range the place of a row is its position; the
+offset of a range is the sum of the counts of the ranges before it.
+
+The placed rows are cut off by a reliable checkpoint: the split points come from a sample, so
+the counts and the rows must be of the same placing.  What reaches the driver is one count for each range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+#: ``monotonically_increasing_id`` is the partition's number times 2^33 plus the row's position in it.
+_POSITION_BITS = 33
+
+
+def _free(df: DataFrame, base: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while base in taken:
+        base += "_"
+    return base
+
 
-def dense_ids(df: DataFrame, bucket_cols: Sequence[str], within_cols: Sequence[str],
-              start: Column | int = 0, name: str = "id") -> DataFrame:
-    """Number rows ``start + 1, start + 2, ...`` in order of ``bucket_cols + within_cols``."""
-    bucket_cols, within_cols = list(bucket_cols), list(within_cols)
-    counts = df.groupBy(*bucket_cols).agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        *bucket_cols,
-        F.coalesce(F.sum("_cnt").over(Window.orderBy(*bucket_cols)
-                                      .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    numbered = df.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(*bucket_cols).orderBy(*within_cols)))
+def place_in_ranges(df: DataFrame, order: Sequence[Column], ranges: int | None = None) -> tuple[DataFrame, str, str]:
+    """Rows sorted by ``order`` over ranges; the names of the columns with the range's number and the position in it."""
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part, pos = _free(df, "_range"), _free(df, "_position")
+    at = F.monotonically_increasing_id()
+    placed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(pos, at)
+              .withColumn(part, F.shiftright(F.col(pos), _POSITION_BITS).cast("int"))
+              .withColumn(pos, F.col(pos).bitwiseAND((1 << _POSITION_BITS) - 1)))
+    return cut_lineage(placed), part, pos
+
+
+def dense_ids(df: DataFrame, order_cols: Sequence[str], start: Column | int = 0, name: str = "id",
+              ranges: int | None = None) -> DataFrame:
+    """Number rows ``start + 1, start + 2, ...`` in the order of ``order_cols`` (NULL first).
+
+    Rows that are equal in all ``order_cols`` get consecutive ids in any order.
+    """
+    placed, part, pos = place_in_ranges(df, [F.col(c).asc() for c in order_cols], ranges)
+    counts = {r[0]: r[1] for r in placed.groupBy(part).count().collect()}  # one row for each range
+    sizes = [counts.get(i, 0) for i in range(max(counts, default=-1) + 1)]
+    before = F.lit([0, *accumulate(sizes)][:len(sizes)] or [0]).cast("array<bigint>")
     base = start if isinstance(start, Column) else F.lit(start)
-    return (numbered.join(offsets, bucket_cols)
-            .withColumn(name, (base + F.col("_off") + F.col("_rn")).cast("int"))
-            .drop("_rn", "_off"))
+    return (placed.withColumn(name, (base + F.get(before, F.col(part)) + F.col(pos) + 1).cast("int"))
+            .drop(part, pos))
 
 
 def rank_within(df: DataFrame, group_col: str, value_col: str, tie_col: str,
-                bins: int = 256, name: str = "rank") -> DataFrame:
-    """1-based position inside each group, by ``value_col`` descending (NULL
-    last) then ``tie_col`` ascending -- without a whole group in one task.
-
-    Per group, approximate quantiles of the value split the group into up to
-    ``bins`` value ranges (the bin is monotone in the value, equal values share
-    a bin, so the result is exact; the quantiles only balance the work).  Rows
-    are numbered inside ``(group, bin)`` and each bin gets an offset from a
-    running sum over the per-bin counts (at most ``bins`` rows per group).
+                ranges: int | None = None, name: str = "rank") -> DataFrame:
+    """1-based position inside each group, by ``value_col`` descending (NULL last) then ``tie_col``
+    ascending, without a whole group or all ties of a value in one task.
+
+    The ranges are over (group, value, tie).  A group that goes on over several ranges has one
+    row of counts for each of them; their running sum, at most ``ranges`` rows of a
+    group, gives the offset, and rows meet it by (range, group), of which none is larger than a range.
     """
-    pct = [i / bins for i in range(1, bins)]
-    bounds = df.groupBy(group_col).agg(F.percentile_approx(value_col, pct, 10 * bins).alias("_b"))
-    v = F.col(value_col)
-    binned = (df.join(bounds, group_col)
-              .withColumn("_bin", F.when(v.isNull(), F.lit(bins + 1))
-                          .otherwise(F.size(F.filter("_b", lambda b: b > v))))
-              .drop("_b"))
-    counts = binned.groupBy(group_col, "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        group_col, "_bin",
-        F.coalesce(F.sum("_cnt").over(Window.partitionBy(group_col).orderBy("_bin")
-                                      .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    numbered = binned.withColumn("_rn", F.row_number().over(
-        Window.partitionBy(group_col, "_bin").orderBy(v.desc_nulls_last(), F.col(tie_col))))
-    return (numbered.join(offsets, [group_col, "_bin"])
-            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("int"))
-            .drop("_bin", "_rn", "_off"))
+    order = [F.col(group_col).asc_nulls_first(), F.col(value_col).desc_nulls_last(), F.col(tie_col).asc()]
+    placed, part, pos = place_in_ranges(df, order, ranges)
+    spans = placed.groupBy(F.col(part).alias("_r"), F.col(group_col).alias("_g")).agg(F.min(pos).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("_r", "_g", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return (placed.join(spans, (F.col(part) == F.col("_r")) & F.col(group_col).eqNullSafe(F.col("_g")))
+            .withColumn(name, (F.col(pos) + F.col("_shift")).cast("int"))
+            .drop(part, pos, "_r", "_g", "_shift"))

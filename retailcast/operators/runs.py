@@ -49,7 +49,7 @@ def build_runs(policy: DataFrame, metrics: DataFrame | None, run_at: _dt.datetim
     else:
         joined = policy.drop("mape", "rmse").join(metrics.select(*SERIES, "mape", "rmse"),
                                                   SERIES, "left")
-    numbered = dense_ids(joined, ["param_set", "item_id"], ["store_id"], start, "run_id")
+    numbered = dense_ids(joined, ["param_set", "item_id", "store_id"], start, "run_id")
     ts = run_at if isinstance(run_at, Column) else F.lit(run_at).cast("timestamp_ntz")
     if per_run_minutes:
         ts = F.timestamp_add("MINUTE", F.col("run_id"), ts)

@@ -113,11 +113,16 @@ class Inputs:
         """Per-series policy + total forecast + backtest (default parameters)."""
         return P.series_summary(self.frame())
 
-    def runs(self) -> DataFrame:
+    @cached_property
+    def saved_runs(self) -> DataFrame:
+        """Run rows with their ids, placed once (see ``ids.dense_ids``)."""
         fr = self.frame(max(p.forecast_days for p in RUN_BATCHES))
         summary = P.series_summary(fr, RUN_BATCHES)  # policy + metrics, one aggregation
         return R.build_runs(summary, None, RUN_AT, 0, per_run_minutes=True)
 
+    def runs(self) -> DataFrame:
+        return self.saved_runs
+
     def daily_runs(self) -> DataFrame:
         fr = self.frame(max(p.forecast_days for p in RUN_BATCHES))
         return R.build_daily(P.future_days(fr, RUN_BATCHES), self.runs())

@@ -40,7 +40,7 @@ def test_replay_matches_loop_O5_O6(spark):
 def test_dense_ids_match_global_row_number(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("p"), (F.col("id") % 17).cast("string").alias("k"),
                                  F.col("id").alias("v"))
-    got = dense_ids(df, ["p", "k"], ["v"], 10, "rid")
+    got = dense_ids(df, ["p", "k", "v"], 10, "rid", ranges=5)
     ref = df.withColumn("rid2", F.row_number().over(Window.orderBy("p", "k", "v")) + 10)
     j = got.join(ref, ["p", "k", "v"])
     assert j.filter(F.col("rid") != F.col("rid2")).count() == 0 and j.count() == 500
@@ -120,7 +120,7 @@ def test_rank_within_matches_row_number(spark):
                                   F.when(F.col("id") % 97 == 0, F.lit(None))
                                   .otherwise((F.col("id") * 7919 % 101).cast("double")).alias("v"),
                                   F.format_string("i%05d", "id").alias("k"))
-    got = rank_within(df, "g", "v", "k", bins=16)
+    got = rank_within(df, "g", "v", "k", ranges=16)
     ref = df.withColumn("r2", F.row_number().over(
         Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last(), "k")))
     j = got.join(ref, ["g", "k"])
