@@ -38,7 +38,7 @@ def load_data(spark: SparkSession, parquet_path: str) -> DataFrame:
 def build_curated(spark: SparkSession, sales_csv: str, calendar_csv: str, prices_csv: str,
                   out_path: str | None = None) -> DataFrame:
     """Three CSVs -> curated long table, optionally written by store."""
-    clean = build_sales_clean(files.read_sales_wide_csv(spark, sales_csv),
+    clean = build_sales_clean(files.read_sales_cells_csv(spark, sales_csv),
                               files.read_calendar_csv(spark, calendar_csv),
                               files.read_prices_csv(spark, prices_csv))
     if out_path:

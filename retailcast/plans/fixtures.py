@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import SERIES
+from ..operators.reshape import numbered_days, with_header
 
 FORECAST = "forecast"
 CATALOG = "catalog"
@@ -69,13 +70,6 @@ def ship_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     return hit[1], hit[2]
 
 
-def n_calendar_days(spark: SparkSession, sf_dir: str) -> int:
-    """Number of calendar days (the wide table's schema depends on it)."""
-    li = read(spark, sf_dir, "lineitem", ["l_shipdate"])
-    day = F.to_date("l_shipdate")
-    return int(li.select(F.date_diff(F.max(day), F.min(day)) + 1).first()[0])
-
-
 def line_facts(spark: SparkSession, sf_dir: str, grain: str = FORECAST) -> DataFrame:
     """One row per line item with the series keys of the requested grain."""
     li = read(spark, sf_dir, "lineitem",
@@ -208,14 +202,16 @@ def sell_prices(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None
 
 
 def sales_wide(spark: SparkSession, sf_dir: str, long: DataFrame | None = None) -> DataFrame:
-    """The wide layout: six id columns plus one int column per day ``d_1..d_n``."""
+    """The wide layout: six id columns and the days' cells ``d_1..d_n`` as one array.
+
+    A series has one row for each calendar day, so an array is as long as the calendar.
+    """
     long = long if long is not None else sales_long(spark, sf_dir)
-    n = n_calendar_days(spark, sf_dir)
-    days = [f"d_{i}" for i in range(1, n + 1)]
     ids = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
-    # ``long`` is dense (every series has every day), so no cell is empty.
-    return (long.withColumn("sales", F.col("sales").cast("int"))
-            .groupBy(*ids).pivot("d", days).agg(F.first("sales")))
+    day = F.substring("d", 3, 10).cast("int")
+    # ``long`` is dense (every series has every day), so no cell is missing and the n-th is day n.
+    by_day = F.sort_array(F.collect_list(F.struct(day.alias("t"), F.col("sales").cast("int").alias("sales"))))
+    return long.groupBy(*ids).agg(by_day.alias("days")).select(*ids, with_header(F.col("days.sales"), numbered_days()))
 
 
 def catalog_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
