@@ -11,12 +11,12 @@ scaled units ``y / max|y|`` and ``t in [0, 1]`` over the history::
 with ``d`` the day number since 1970-01-01.  Priors: ``k, m ~ N(0, 5)``,
 seasonal coefficients ``~ N(0, 10)``, ``delta ~ Laplace(0, 0.05)``.  The MAP
 fit is iteratively reweighted ridge (the Laplace prior as a reweighted
-quadratic), a fixed number of iterations, NumPy ``solve`` only.
+quadratic), a fixed number of iterations on the normal equations.
 
-Plan shape: the only Python step is the grouped fit -- ``applyInPandas`` over
-the series-partitioned history (one group = one series, bounded by the number
-of days), which emits ONE small row per series with both the full-history and
-the training-only coefficients.  Prediction is native: the model row is joined
+Plan shape: the normal equations are native sums by (series, fit, segment between changepoints, weekday)
+(``gram``), computed with the history's series partitioning.  The only Python step solves
+them, for many series in one Arrow batch, and emits a small row of coefficients for each fit (all of the
+history, and its training part).  Prediction is native: the model row is joined
 back to the per-series spine and trend and seasonality are evaluated as a fixed
 set of plain arithmetic terms over the coefficient arrays (whole-stage codegen,
 no interpreted lambdas; changepoint arrays are padded to 25), so the forecast frame
@@ -36,13 +36,15 @@ import math
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..constants import SERIES
+from ..session import cut_lineage
+from . import gram
 from .series import extend_with_horizon
 
 # FIXED VALUES: model configuration.
@@ -54,109 +56,94 @@ TREND_PRIOR = 5.0
 YEAR_PERIOD, YEAR_ORDER = 365.25, 10
 WEEK_PERIOD, WEEK_ORDER = 7.0, 3
 IRLS_ITERATIONS = 20
+#: Series whose matrices are solved at once.
+SOLVE_TOGETHER = 256
 
-_MODEL_FIELDS = ("ds0 date, span double, y_scale double, k double, m double, n_cp int, "
-                 "cp array<double>, delta array<double>, beta_year array<double>, "
-                 "beta_week array<double>, sigma double, lam double")
-MODEL_SCHEMA = (f"item_id string, store_id string, full struct<{_MODEL_FIELDS}>, "
-                f"train struct<{_MODEL_FIELDS}>")
-
-
-def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
-    cols = []
-    for i in range(1, order + 1):
-        w = 2.0 * math.pi * i * days / period
-        cols.append(np.sin(w))
-        cols.append(np.cos(w))
-    return np.column_stack(cols)
-
-
-def fit_series(days: np.ndarray, y: np.ndarray) -> dict:
-    """MAP fit of one series. ``days``: day numbers since 1970 (sorted)."""
-    n = len(y)
-    d0 = days[0]
-    span = float(days[-1] - d0)
-    y_scale = float(np.max(np.abs(y))) if n else 0.0
-    flat = {"ds0": int(d0), "span": max(span, 1.0), "y_scale": y_scale, "k": 0.0,
-            "m": 1.0 if y_scale > 0 else 0.0, "n_cp": 0,
-            "cp": [0.0] * N_CHANGEPOINTS, "delta": [0.0] * N_CHANGEPOINTS,
-            "beta_year": [0.0] * (2 * YEAR_ORDER), "beta_week": [0.0] * (2 * WEEK_ORDER),
-            "sigma": 0.0, "lam": 0.0}
-    if n < 2 or span <= 0 or y_scale == 0.0 or float(np.ptp(y)) == 0.0:
-        flat["y_scale"] = y_scale if y_scale > 0 else 1.0
-        flat["m"] = float(np.mean(y)) / flat["y_scale"] if n else 0.0
-        return flat
-    t = (days - d0) / span
-    ys = y / y_scale
-    hist = int(math.floor(n * CHANGEPOINT_RANGE))
-    n_cp = min(N_CHANGEPOINTS, max(hist - 1, 0))
-    if n_cp > 0:
-        idx = np.linspace(0, hist - 1, n_cp + 1).round().astype(int)[1:]
-        cps = t[idx]
-    else:
-        cps = np.zeros(0)
-    hinge = np.maximum(t[:, None] - cps[None, :], 0.0) if n_cp else np.zeros((n, 0))
-    X = np.column_stack([t, np.ones(n), hinge, _fourier(days.astype(float), YEAR_PERIOD, YEAR_ORDER),
-                         _fourier(days.astype(float), WEEK_PERIOD, WEEK_ORDER)])
-    p = X.shape[1]
-    base_prec = np.empty(p)
-    base_prec[:2] = 1.0 / TREND_PRIOR ** 2
-    base_prec[2 + n_cp:] = 1.0 / SEASONALITY_PRIOR ** 2
-    XtX, Xty = X.T @ X, X.T @ ys
-    delta = np.full(n_cp, CHANGEPOINT_PRIOR)
-    sigma2 = max(float(np.var(ys)), 1e-6)
-    theta = np.zeros(p)
-    for _ in range(IRLS_ITERATIONS):
-        prec = base_prec.copy()
-        prec[2:2 + n_cp] = 1.0 / (CHANGEPOINT_PRIOR * np.maximum(np.abs(delta), 1e-6))
-        A = XtX / sigma2 + np.diag(prec)
-        theta = np.linalg.solve(A, Xty / sigma2)
-        delta = theta[2:2 + n_cp]
-        resid = ys - X @ theta
-        sigma2 = max(float(np.mean(resid ** 2)), 1e-10)
-    ny = 2 * YEAR_ORDER
-    pad = [0.0] * (N_CHANGEPOINTS - n_cp)  # padded: delta 0 adds nothing
-    return {"ds0": int(d0), "span": span, "y_scale": y_scale, "k": float(theta[0]),
-            "m": float(theta[1]), "n_cp": n_cp, "cp": [float(c) for c in cps] + pad,
-            "delta": [float(v) for v in delta] + pad,
-            "beta_year": [float(v) for v in theta[2 + n_cp:2 + n_cp + ny]],
-            "beta_week": [float(v) for v in theta[2 + n_cp + ny:]],
-            "sigma": math.sqrt(sigma2),
-            "lam": float(np.mean(np.abs(delta))) + 1e-8 if n_cp else 0.0}
-
-
-def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    first = pdf.iloc[[0]]
-    # A day without a finite value tells nothing about the series: it is left out of the fit.
-    pdf = pdf[np.isfinite(pdf["y"].to_numpy(dtype=float))].sort_values("ds")
-    if pdf.empty:
-        return pd.DataFrame({"item_id": first["item_id"].to_list(), "store_id": first["store_id"].to_list(),
-                             "full": [None], "train": [None]})
-    days = pdf["_day"].to_numpy(dtype=float)
-    y = pdf["y"].to_numpy(dtype=float)
-    train = pdf["_train"].to_numpy(dtype=bool)
-    full = fit_series(days, y)
-    tr = fit_series(days[train], y[train]) if train.any() else None
-    epoch = pd.Timestamp("1970-01-01")
-    for m in (full, tr):
-        if m is not None:
-            m["ds0"] = (epoch + pd.Timedelta(days=int(m["ds0"]))).date()
-    return pd.DataFrame({"item_id": [pdf["item_id"].iloc[0]], "store_id": [pdf["store_id"].iloc[0]],
-                         "full": [full], "train": [tr]})
+SCALARS = "ds0 int, span double, y_scale double, k double, m double, n_cp int, sigma double, lam double"
+ARRAYS = ["cp", "delta", "beta_year", "beta_week"]
+FITTED = f"item_id string, store_id string, fit string, {SCALARS}, " + ", ".join(f"{c} array<double>" for c in ARRAYS)
+
+
+def _scaled_rows(history: DataFrame) -> DataFrame:
+    """Rows of each fit (``full`` has all of a series, ``train`` the training days) with scaled time and value, and the
+    number of changepoints before the row.
+
+    A day without a finite value tells nothing about the series: it is left out of the fit.
+    """
+    finite = F.col("y").isNotNull() & ~F.isnan("y") & (F.abs("y") < F.lit(float("inf")))
+    fits = F.explode(F.when(F.col("is_train"), F.array(F.lit("full"), F.lit("train"))).otherwise(F.array(F.lit("full"))))
+    rows = history.where(finite).select(*SERIES, F.unix_date("ds").alias("day"), F.col("y").alias("y0"), fits.alias("fit"))
+    order = Window.partitionBy(*SERIES, "fit").orderBy("day")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"n": F.count(F.lit(1)).over(whole), "row": F.row_number().over(order) - 1, "ds0": F.min("day").over(whole),
+                             "last": F.max("day").over(whole), "most": F.max(F.abs("y0")).over(whole),
+                             "low": F.min("y0").over(whole), "high": F.max("y0").over(whole)})
+    # A constant series, or one of a single day, has its mean as the whole model.
+    rows = rows.withColumns({"flat": (F.col("n") < 2) | (F.col("last") <= F.col("ds0")) | (F.col("low") == F.col("high")),
+                             "span": F.greatest((F.col("last") - F.col("ds0")).cast("double"), F.lit(1.0)),
+                             "y_scale": F.when(F.col("most") > 0, F.col("most")).otherwise(F.lit(1.0))})
+    hist = F.floor(F.col("n") * F.lit(CHANGEPOINT_RANGE)).cast("int")
+    rows = rows.withColumns({"t": (F.col("day") - F.col("ds0")) / F.col("span"), "y": F.col("y0") / F.col("y_scale"),
+                             "n_cp": F.least(F.lit(N_CHANGEPOINTS), F.greatest(hist - 1, F.lit(0)))})
+    # Changepoint j stands at row rint(j * step): evenly over the first part of the history.
+    step = (hist - 1) / F.col("n_cp")
+    before = F.filter(F.sequence(F.lit(1), F.col("n_cp")), lambda j: F.rint(j * step) < F.col("row"))
+    rows = rows.withColumn("segment", F.when(F.col("n_cp") > 0, F.size(before)).otherwise(F.lit(0)))
+    at_next = (F.col("segment") < F.col("n_cp")) & (F.rint((F.col("segment") + 1) * step) == F.col("row"))
+    return rows.withColumn("cp", F.when(at_next, F.col("t")))
+
+
+def _fitter(year_order: int, week_order: int):
+    """Sums of many series -> their coefficients."""
+    n_year = 2 * year_order
+
+    def fit(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, SOLVE_TOGETHER):
+                yield _solved(batch.slice(at, SOLVE_TOGETHER))
+
+    def _solved(batch: pa.RecordBatch) -> pa.RecordBatch:
+        col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        sums, cps = gram.sums_of(batch, N_CHANGEPOINTS + 1), gram.changepoints_of(batch, N_CHANGEPOINTS)
+        n_cp, flat = col["n_cp"].to_numpy().astype(int), col["flat"].to_numpy(zero_copy_only=False)
+        normal = gram.Normal(sums, cps, n_cp, year_order, week_order)
+        priors = np.empty(normal.p)
+        priors[:2], priors[2:] = 1.0 / TREND_PRIOR ** 2, 1.0 / SEASONALITY_PRIOR ** 2
+        theta, sigma2 = gram.solve(normal, priors, CHANGEPOINT_PRIOR, IRLS_ITERATIONS)
+        theta[flat] = 0.0
+        theta[flat, 1] = (normal.y_sum / normal.n)[flat]
+        delta = theta[:, normal.hinges]
+        lam = np.abs(delta).sum(axis=1) / np.maximum(n_cp, 1) + 1e-8
+        lists = {"cp": cps * ~flat[:, None], "delta": delta, "beta_year": theta[:, normal.hinges.stop:normal.hinges.stop + n_year], "beta_week": theta[:, normal.hinges.stop + n_year:]}
+        values = {c: col[c] for c in ("item_id", "store_id", "fit", "ds0", "span", "y_scale")}
+        values |= {"k": pa.array(theta[:, 0]), "m": pa.array(theta[:, 1]), "n_cp": pa.array(np.where(flat, 0, n_cp).astype(np.int32)),
+                   "sigma": pa.array(np.where(flat, 0.0, np.sqrt(sigma2))), "lam": pa.array(np.where(flat | (n_cp == 0), 0.0, lam))}
+        values |= {c: pa.array(list(v), type=pa.list_(pa.float64())) for c, v in lists.items()}
+        names = [f.split()[0] for f in FITTED.split(", ")]
+        return pa.RecordBatch.from_arrays([values[n] for n in names], names=names)
+
+    return fit
 
 
 def fit_models(history: DataFrame) -> DataFrame:
     """One model row per series: ``item_id, store_id, full, train``.
 
-    ``history``: ``item_id, store_id, ds, y, is_train``.  Grouped by series;
-    Arrow batches carry one series at a time.
+    ``history``: ``item_id, store_id, ds, y, is_train``.  The normal equations are sums by
+    (series, fit, segment, weekday), planned with the series partitioning of ``history``; Python gets
+    them for many series at once and solves these together.  A series without a finite value has no row.
     """
-    # Ship the fit function by value: executors need not have this package
-    # installed (only NumPy and pandas).
+    # Ship the solver by value: executors need not have this package installed (only NumPy and Arrow).
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    src = history.select(*SERIES, "ds", "y", F.unix_date("ds").alias("_day"),
-                         F.col("is_train").alias("_train"))
-    return src.groupBy(*SERIES).applyInPandas(_fit_group, MODEL_SCHEMA)
+    cloudpickle.register_pickle_by_value(gram)
+    rows = _scaled_rows(history)
+    keep = ["ds0", "span", "y_scale", "n_cp", "flat"]
+    sums = gram.segment_sums(rows, keep, YEAR_PERIOD, YEAR_ORDER)
+    fitted = sums.mapInArrow(_fitter(YEAR_ORDER, WEEK_ORDER), FITTED)
+    model = F.struct(F.date_from_unix_date("ds0").alias("ds0"), "span", "y_scale", "k", "m", "n_cp", *ARRAYS, "sigma", "lam")
+    models = fitted.select(*SERIES, "fit", model.alias("model")).groupBy(*SERIES).agg(
+        *[F.first(F.when(F.col("fit") == f, F.col("model")), ignorenulls=True).alias(f) for f in ("full", "train")])
+    # A row of sums holds some 120 KB, a model row 1 KB; the models are read by several branches.
+    return cut_lineage(models, arrow_rows=SOLVE_TOGETHER)
 
 
 def _predict(m: Column, ds: Column) -> dict[str, Column]:
@@ -196,8 +183,11 @@ def map_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     cols = set(model_input.columns)
     price = F.col("sell_price") if "sell_price" in cols else F.lit(None).cast("double")
+    # A row is a few bytes but costs 40 sines in the fit and 100 in the prediction: partitions are
+    # kept as they are, not merged by their size.
+    n = int(model_input.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = model_input.select(*SERIES, "ds", F.col("y").cast("double").alias("y"),
-                              price.alias("sell_price"))
+                              price.alias("sell_price")).repartition(n, *SERIES)
     staged = (base
               .withColumns({"n_rows": F.count(F.lit(1)).over(whole),
                             "last_ds": F.max("ds").over(whole),
@@ -215,7 +205,7 @@ def map_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
     hist = ~F.col("is_future")
     fr = (ext.withColumns({"y": F.when(hist, F.col("y")),
                            "is_test": hist & (F.col("rn_desc") <= holdout)})
-          .join(models, SERIES))
+          .join(models, SERIES, "left"))
     full = _predict(F.col("full"), F.col("ds"))
     tr = _predict(F.col("train"), F.col("ds"))
     # Components once as columns; everything else refers to them.

@@ -401,6 +401,22 @@ FROM rp"""
 SELECT item_id, store_id, cast(count_if(ordered) AS BIGINT) AS n_orders, count(*) AS n_days,
        {r('min(level)')} AS min_level
 FROM rp GROUP BY item_id, store_id"""
+    history = f"""
+rh_days AS (
+  SELECT item_id, store_id, list(ds ORDER BY ds) AS days, list(CASE WHEN y > 0 THEN y ELSE 0.0 END ORDER BY ds) AS demand
+  FROM frame WHERE NOT is_future GROUP BY item_id, store_id),
+rh_series AS (
+  SELECT d.*, {r('p.rop')} AS rop, {r('p.eoq')} AS eoq FROM rh_days d JOIN policy p USING (item_id, store_id)),
+rh(item_id, store_id, day, level, ordered) AS (
+  SELECT item_id, store_id, 0, greatest(0.0, eoq + (CASE WHEN eoq <= rop THEN eoq ELSE 0.0 END) - demand[1]), coalesce(eoq <= rop, FALSE)
+  FROM rh_series
+  UNION ALL
+  SELECT h.item_id, h.store_id, h.day + 1,
+         greatest(0.0, h.level + (CASE WHEN h.level <= s.rop THEN s.eoq ELSE 0.0 END) - s.demand[h.day + 2]), coalesce(h.level <= s.rop, FALSE)
+  FROM rh h JOIN rh_series s ON h.item_id = s.item_id AND h.store_id = s.store_id WHERE h.day + 1 < len(s.days))"""
+    q["inventory_replay_history"] = w(base, FR90, params_cte(DEFAULT), FUTURE, history) + f"""
+SELECT h.item_id, h.store_id, h.day, s.days[h.day + 1] AS ds, s.demand[h.day + 1] AS demand, {r('h.level')} AS level, h.ordered
+FROM rh h JOIN rh_series s ON h.item_id = s.item_id AND h.store_id = s.store_id"""
     frs = w(base, FR90, params_cte(DEFAULT), FUTURE, METRICS, SUMMARY)
     cols = ["avg_daily_demand", "std_daily_demand", "total_forecast", "safety_stock", "rop",
             "eoq", "mape", "rmse"]

@@ -272,6 +272,11 @@ def q_replay_orders(i: Inputs) -> DataFrame:
     return _round_cols(RP.replay_orders(lv).drop("param_set"), {"min_level"})
 
 
+def q_inventory_replay_history(i: Inputs) -> DataFrame:
+    lv = RP.replay_history(i.frame(), precision=6).drop("param_set", "rop", "eoq")
+    return _round_cols(lv, {"level"})
+
+
 # -- comparison ----------------------------------------------------------------
 
 def q_compare_products(i: Inputs) -> DataFrame:
@@ -351,6 +356,7 @@ REGISTRY = {
     "forecast_insights": q_forecast_insights,
     "inventory_replay": q_inventory_replay,
     "replay_orders": q_replay_orders,
+    "inventory_replay_history": q_inventory_replay_history,
     "compare_products": q_compare_products,
     "compare_takeaway": q_compare_takeaway,
     "runs_next_id": q_runs_next_id,

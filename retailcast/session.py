@@ -9,6 +9,7 @@ names one; only a local session (tests) gets a private one when it is unset.
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,7 +62,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+@contextmanager
+def conf(spark: SparkSession, **values: str):
+    """Session settings (dots written as ``__``) for the eager jobs inside the block."""
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def cut_lineage(df: DataFrame, arrow_rows: int | None = None) -> DataFrame:
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    ``arrow_rows``: rows of an Arrow batch, where Python steps of the plan get wide rows.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with conf(df.sparkSession, **({"spark__sql__execution__arrow__maxRecordsPerBatch": str(arrow_rows)} if arrow_rows else {})):
+        return df.checkpoint(eager=True)
