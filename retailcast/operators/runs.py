@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -118,6 +118,18 @@ def sort_runs(runs: DataFrame, sort_col: str, ascending: bool) -> DataFrame:
     return runs.orderBy(key, F.col("run_id"))
 
 
+def explore_runs(latest: DataFrame, sort: str, item_id: str | None = None, store_id: str | None = None) -> DataFrame:
+    """Shown runs -> filtered (F5), sorted (T4), under their display names (R5), with their place as ``position``.
+
+    At most the view's limit of rows is sorted (a top-k of the newest runs came before).
+    """
+    column, ascending = SORT_OPTIONS[sort]
+    chosen = filter_runs(latest, item_id, store_id)
+    key = F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()
+    placed = chosen.withColumn("position", F.row_number().over(Window.orderBy(key, F.col("run_id"))))
+    return placed.select("position", *[F.col(k).alias(v) for k, v in DISPLAY_NAMES.items()]).orderBy("position")
+
+
 def run_forecast(daily: DataFrame, run_id: int) -> DataFrame:
     """Days of one run in date order."""
     return (daily.filter(F.col("run_id") == F.lit(run_id))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.reshape import melt
+from ..sources.clustered import ClusteredTable
 
 
 def attach_calendar(long: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -44,6 +46,18 @@ def build_sales_clean(wide: DataFrame, calendar: DataFrame, prices: DataFrame) -
     return clean_long(melt(wide), calendar, prices)
 
 
+CLEAN_SCHEMA = T.StructType([
+    *[T.StructField(c, T.StringType()) for c in ("id", "item_id", "dept_id", "cat_id", "state_id", "d")],
+    T.StructField("sales", T.IntegerType()), T.StructField("date", T.DateType()),
+    T.StructField("wm_yr_wk", T.IntegerType()), T.StructField("sell_price", T.DoubleType()),
+    T.StructField("store_id", T.StringType())])
+
+
+def curated_table(spark: SparkSession, path: str, buckets: int = 8) -> ClusteredTable:
+    """The curated table by store folders, bucketed by item and sorted by item and date: one series is one file's few row groups."""
+    return ClusteredTable(spark, path, CLEAN_SCHEMA, "item_id", ["item_id", "date"], buckets, ["store_id"])
+
+
 def write_curated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write partitioned by store so store filters prune whole folders."""
     df.write.mode(mode).partitionBy("store_id").parquet(path)

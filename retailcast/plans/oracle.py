@@ -8,7 +8,7 @@ rounded the same way as on the Spark side (``round(x * 1e6) / 1e6``).
 from __future__ import annotations
 
 from ..constants import BAND_Z
-from .queries import CATEGORY_NAMES, ONE_RUN, ONE_SERIES, RUN_BATCHES, RUNS_STORE, RUNS_TOP_N
+from .queries import CATEGORY_NAMES, ONE_DEPT, ONE_RUN, ONE_SERIES, RUN_BATCHES, RUNS_STORE, RUNS_TOP_N
 
 
 def r(expr: str, places: int = 6) -> str:
@@ -470,6 +470,29 @@ SELECT f.ds, {r('f.yhat')} AS yhat, {r('f.yhat_lower')} AS yhat_lower,
 FROM runs r JOIN future f ON f.item_id = r.item_id AND f.store_id = r.store_id
                          AND f.param_set = r.param_set
 WHERE r.run_id = {ONE_RUN} ORDER BY f.ds"""
+    q["stored_series"] = w(base) + f"""
+SELECT item_id, store_id, date, cast(sales AS INTEGER) AS sales, {r('sell_price')} AS sell_price FROM sales_clean
+WHERE item_id = '{ONE_SERIES[0]}' AND store_id = '{ONE_SERIES[1]}'"""
+    saved = """
+saved AS (SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + to_days(param_set - 1) AS run_at) FROM runs)"""
+    frv = w(base, FR_RUNS, params_cte(RUN_BATCHES), FUTURE, METRICS, RUNS, saved)
+    q["saved_runs_roundtrip"] = frv + f"""
+SELECT s.run_id, s.run_at, s.item_id, s.store_id, s.forecast_days, {r('s.rop')} AS rop, count(*) AS n_days,
+       min(f.ds) AS first_ds, max(f.ds) AS last_ds, {r('sum(f.yhat)', 4)} AS total_forecast
+FROM saved s JOIN future f ON f.item_id = s.item_id AND f.store_id = s.store_id AND f.param_set = s.param_set
+GROUP BY s.run_id, s.run_at, s.item_id, s.store_id, s.forecast_days, s.rop"""
+    q["saved_runs_view"] = frv + f"""
+SELECT cast(row_number() OVER (ORDER BY mape ASC NULLS LAST, run_id) AS INTEGER) AS position,
+       run_id AS "Run #", run_at AS "Timestamp", item_id AS "Product", store_id AS "Store", forecast_days AS "Horizon (days)",
+       lead_time_days AS "Lead Time", avg_daily_demand AS "Avg Demand/day", safety_stock AS "Safety Stock", rop AS "ROP",
+       eoq AS "EOQ", mape AS "MAPE (%)", rmse AS "RMSE"
+FROM (SELECT run_id, run_at, item_id, store_id, forecast_days, lead_time_days, {", ".join(f"{r(c, n)} AS {c}" for c, n in R2.items())}
+      FROM saved ORDER BY run_at DESC, run_id DESC LIMIT 200)
+WHERE store_id = '{RUNS_STORE}'"""
+    q["dept_products_labels"] = w(CATALOG) + f"""
+SELECT cast(row_number() OVER (ORDER BY avg_daily_demand DESC NULLS LAST, item_id) AS INTEGER) AS rank, item_id,
+       item_id || '  —  ' || printf('%.2f', round(avg_daily_demand * 100) / 100) || ' units/day' AS label
+FROM summary WHERE dept_id = '{ONE_DEPT}'"""
     return q
 
 

@@ -11,6 +11,8 @@ for value.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from contextlib import contextmanager, suppress
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -30,6 +32,8 @@ from ..operators import runs as R
 from ..operators import series as S
 from ..operators.reshape import melt, to_model_input
 from ..operators.seasonal import seasonal_frame
+from ..session import checkpoint_dir
+from ..sources.runs_store import RunStore
 from . import etl
 from . import fixtures as fx
 
@@ -37,6 +41,7 @@ from . import fixtures as fx
 ONE_SERIES = ("Brand#13", "EUROPE")          # single-series filter (F2)
 RUNS_STORE = "EUROPE"                        # store filter of the saved-runs query (F5)
 RUNS_TOP_N = 10                              # top-n by demand (T2)
+ONE_DEPT = "ECONOMY_5"                       # department choice (F3)
 ONE_RUN = 7                                  # saved run looked up by its id (F8)
 RUN_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)   # saved-run clock: RUN_AT + run_id minutes
 # Three saved batches: defaults, then a short and a long horizon.
@@ -328,6 +333,78 @@ def q_run_forecast(i: Inputs) -> DataFrame:
     return _round_cols(days, {"yhat", "yhat_lower", "yhat_upper"})
 
 
+# -- stored tables ---------------------------------------------------------------
+
+def _scratch(i: Inputs, name: str) -> str:
+    return f"{checkpoint_dir(i.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_stored_series(i: Inputs) -> DataFrame:
+    """One series read back from the clustered curated table."""
+    table = etl.curated_table(i.spark, _scratch(i, "curated"))
+    table.append(i.clean.withColumn("sales", F.col("sales").cast("int")))
+    one = S.single_series(table.read(), *ONE_SERIES)
+    return _round_cols(one.select("item_id", "store_id", "date", "sales", "sell_price"), {"sell_price"})
+
+
+def _stored_runs(i: Inputs) -> RunStore:
+    """Three batches saved one after another; the second one fails after its days and is saved again, the first is
+    saved again although it was complete."""
+    store = RunStore(i.spark, _scratch(i, "runs"), buckets=8)
+    frame = i.frame(max(p.forecast_days for p in RUN_BATCHES))
+
+    def save(k: int) -> None:
+        summary = P.series_summary(frame, RUN_BATCHES[k])
+        store.save(frame, summary, None, RUN_BATCHES[k], RUN_AT + _dt.timedelta(days=k), f"batch {k + 1}")
+
+    save(0)
+    with failing_before_runs(store):
+        save(1)
+    save(1)
+    save(0)
+    save(2)
+    return store
+
+
+@contextmanager
+def failing_before_runs(store: RunStore):
+    """Every save in the block breaks off before its run rows are written."""
+    append = store._append
+
+    def broken(path: str, rows: DataFrame) -> None:
+        if path == store.runs_path:
+            raise _Broken
+        append(path, rows)
+
+    store._append = broken
+    try:
+        with suppress(_Broken):
+            yield
+    finally:
+        store._append = append
+
+
+class _Broken(Exception):
+    pass
+
+
+def q_saved_runs_roundtrip(i: Inputs) -> DataFrame:
+    """Runs of the stored tables with how many days they have, and the days' sum."""
+    days = _stored_runs(i).load_run_days()
+    return (days.groupBy("run_id", "run_at", *SERIES, "forecast_days", r6("rop").alias("rop"))
+            .agg(F.count(F.lit(1)).alias("n_days"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"), round_half_up(F.sum("yhat"), 4).alias("total_forecast")))
+
+
+def q_saved_runs_view(i: Inputs) -> DataFrame:
+    """The saved-runs view over the stored tables: the newest runs of one store by fit, under display names."""
+    return _stored_runs(i).explore("Lowest MAPE (best fit)", store_id=RUNS_STORE)
+
+
+def q_dept_products_labels(i: Inputs) -> DataFrame:
+    """Products of one department by demand, as the choice list shows them."""
+    return C.dept_products(C.demand_summary(i.catalog), ONE_DEPT, with_label=True).select("rank", "item_id", "label")
+
+
 REGISTRY = {
     "melt_sales": q_melt_sales,
     "sales_clean": q_sales_clean,
@@ -366,6 +443,10 @@ REGISTRY = {
     "runs_sorted_nulls_last": q_runs_sorted_nulls_last,
     "run_detail": q_run_detail,
     "run_forecast": q_run_forecast,
+    "stored_series": q_stored_series,
+    "saved_runs_roundtrip": q_saved_runs_roundtrip,
+    "saved_runs_view": q_saved_runs_view,
+    "dept_products_labels": q_dept_products_labels,
 }
 
 
