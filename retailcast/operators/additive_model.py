@@ -174,6 +174,46 @@ def _predict(m: Column, ds: Column) -> dict[str, Column]:
     return {"trend": trend, "yearly": yearly, "weekly": weekly, "sd": sd}
 
 
+def predict_components(models: DataFrame, spine: DataFrame, band_z: float = K.BAND_Z) -> DataFrame:
+    """Prediction from a table of coefficients (M2-M4): ``item_id, store_id, ds, yhat, yhat_lower, yhat_upper, trend, weekly, yearly``.
+
+    ``models``: ``item_id, store_id, model`` with the fields of ``fit_models``' structs, from wherever it
+    comes; ``spine``: ``item_id, store_id, ds``.  Days of a series without a model are left out.
+    """
+    at = _predict(F.col("model"), F.col("ds"))
+    fr = spine.join(models.select(*SERIES, "model"), SERIES).select(*SERIES, "ds", *[at[c].alias(c) for c in ("trend", "weekly", "yearly", "sd")])
+    yhat = F.col("trend") + F.col("weekly") + F.col("yearly")
+    return fr.select(*SERIES, "ds", yhat.alias("yhat"), (yhat - band_z * F.col("sd")).alias("yhat_lower"), (yhat + band_z * F.col("sd")).alias("yhat_upper"), "trend", "weekly", "yearly")
+
+
+def projected_models(history: DataFrame) -> DataFrame:
+    """A table of coefficients by plain projection: ``item_id, store_id, model`` (no iteration, all native sums).
+
+    The trend is the least-squares line; the jump at changepoint j is a tenth of the difference
+    between the means after and before it; each seasonal coefficient is twice the mean of the scaled value
+    times its wave.  A quick start model of the same form as the fit, and the same numbers in any SQL engine.
+    """
+    base = history.where(F.col("y").isNotNull()).select(*SERIES, "ds", F.unix_date("ds").cast("double").alias("day"), F.col("y").cast("double").alias("y"))
+    whole = Window.partitionBy(*SERIES)
+    base = base.withColumns({"d0": F.min("day").over(whole), "span": F.greatest(F.max("day").over(whole) - F.min("day").over(whole), F.lit(1.0)), "most": F.max(F.abs("y")).over(whole)})
+    base = base.withColumn("y_scale", F.when(F.col("most") > 0, F.col("most")).otherwise(F.lit(1.0)))
+    base = base.withColumns({"t": (F.col("day") - F.col("d0")) / F.col("span"), "v": F.col("y") / F.col("y_scale")})
+    cps = [CHANGEPOINT_RANGE * j / N_CHANGEPOINTS for j in range(1, N_CHANGEPOINTS + 1)]
+
+    def waves(period: float, order: int) -> Column:
+        angles = [F.lit(2.0 * math.pi * i / period) * F.col("day") for i in range(1, order + 1)]
+        return F.array(*[F.lit(2.0) * F.avg(F.col("v") * f(a)) for a in angles for f in (F.sin, F.cos)])
+
+    jumps = F.array(*[F.coalesce(F.lit(0.1) * (F.avg(F.when(F.col("t") > s, F.col("v"))) - F.avg(F.when(F.col("t") <= s, F.col("v")))), F.lit(0.0)) for s in cps])
+    sums = base.groupBy(*SERIES).agg(
+        F.min("ds").alias("ds0"), F.first("span").alias("span"), F.first("y_scale").alias("y_scale"), F.coalesce(F.regr_slope("v", "t"), F.lit(0.0)).alias("k"),
+        F.coalesce(F.regr_intercept("v", "t"), F.avg("v")).alias("m"), jumps.alias("delta"), waves(YEAR_PERIOD, YEAR_ORDER).alias("beta_year"),
+        waves(WEEK_PERIOD, WEEK_ORDER).alias("beta_week"), F.coalesce(F.stddev_samp("v"), F.lit(0.0)).alias("sigma"))
+    lam = F.aggregate("delta", F.lit(0.0), lambda a, d: a + F.abs(d)) / N_CHANGEPOINTS
+    model = F.struct("ds0", "span", "y_scale", "k", "m", F.lit(N_CHANGEPOINTS).alias("n_cp"), F.array(*[F.lit(s) for s in cps]).alias("cp"), "delta", "beta_year", "beta_week", "sigma", lam.alias("lam"))
+    return sums.select(*SERIES, model.alias("model"))
+
+
 def map_frame(model_input: DataFrame, horizon: int = K.DEFAULT_HORIZON,
               holdout: int = K.HOLDOUT_DAYS, min_rows: int = K.MIN_HISTORY_ROWS,
               backtest_extra_rows: int = K.BACKTEST_EXTRA_ROWS,

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 #: What a partial row is about: the mean demand of an item (A1), the sales of a day (A2), a distinct item or store (A10).
 ITEM, DAY, ITEM_SEEN, STORE_SEEN = "item", "day", "item_seen", "store_seen"
+#: A batch whose partials were merged into others by ``compact``.
+BATCH = "batch"
 
 SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("item_id", T.StringType()), T.StructField("cat_id", T.StringType()),
@@ -51,7 +53,7 @@ def partials(sales: DataFrame) -> DataFrame:
 
 def merged(parts: DataFrame) -> DataFrame:
     """Partials with one row for each key; merging merged ones gives the same."""
-    return parts.groupBy(*KEYS).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return parts.where(F.col("kind") != BATCH).groupBy(*KEYS).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
 def demand_summary(parts: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def daily_total(parts: DataFrame) -> DataFrame:
 
 
 def kpis(parts: DataFrame) -> DataFrame:
-    """Rows, distinct items and stores (A10) and the first and last day, from merged partials."""
+    """Rows with a store, distinct items and stores (A10) and the first and last day, from merged partials."""
     of = F.col("kind")
     return parts.agg(F.coalesce(F.sum(F.when(of == STORE_SEEN, F.col("n"))), F.lit(0)).alias("n_rows"), F.count_if(of == ITEM_SEEN).alias("n_items"),
                      F.count_if(of == STORE_SEEN).alias("n_stores"), F.min(F.when(of == DAY, F.col("date"))).alias("first_date"), F.max(F.when(of == DAY, F.col("date"))).alias("last_date"))
@@ -90,6 +92,7 @@ class RollupStore:
         """Add a batch of days; the same batch again adds nothing (rows that a broken append left are not repeated)."""
         new = partials(sales).withColumn("batch_id", F.lit(batch_id))
         there = self.stored().where(F.col("batch_id") == batch_id)
+        new = new.join(there.where(F.col("kind") == BATCH).select("batch_id"), "batch_id", "left_anti")
         same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in KEYS]
         condition = same[0]
         for c in same[1:]:
@@ -101,7 +104,11 @@ class RollupStore:
         return merged(self.stored())
 
     def compact(self, path: str) -> RollupStore:
-        """A store at another path with one row for each key and batch-free; the old one stays until its owner removes it."""
-        out = RollupStore(self.spark, path)
-        self.read().withColumn("batch_id", F.lit(None).cast("string")).select(*SCHEMA.names).write.mode("errorifexists").parquet(out.path)
+        """A store at another path with one row for each key, and one for each batch in it, so that it is not
+        appended again; the old store stays until its owner removes it."""
+        out, stored = RollupStore(self.spark, path), self.stored()
+        rows = merged(stored).withColumn("batch_id", F.lit(None).cast("string")).select(*SCHEMA.names)
+        batches = stored.select("batch_id").where("batch_id IS NOT NULL").distinct().select(
+            *[F.lit(BATCH).alias(f.name) if f.name == "kind" else F.col("batch_id") if f.name == "batch_id" else F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMA.fields])
+        rows.unionByName(batches).write.mode("errorifexists").parquet(out.path)
         return out

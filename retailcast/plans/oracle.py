@@ -7,7 +7,10 @@ rounded the same way as on the Spark side (``round(x * 1e6) / 1e6``).
 
 from __future__ import annotations
 
+import math
+
 from ..constants import BAND_Z
+from ..operators import additive_model as A
 from .queries import CATEGORY_NAMES, ONE_DEPT, ONE_RUN, ONE_SERIES, RUN_BATCHES, RUNS_STORE, RUNS_TOP_N
 
 
@@ -493,7 +496,54 @@ WHERE store_id = '{RUNS_STORE}'"""
 SELECT cast(row_number() OVER (ORDER BY avg_daily_demand DESC NULLS LAST, item_id) AS INTEGER) AS rank, item_id,
        item_id || '  —  ' || printf('%.2f', round(avg_daily_demand * 100) / 100) || ' units/day' AS label
 FROM summary WHERE dept_id = '{ONE_DEPT}'"""
+    q["demand_summary_kept_up"] = q["demand_summary"]
+    q["daily_total_kept_up"] = w(CATALOG) + """
+SELECT date, cast(sum(sales) AS BIGINT) AS total_sales FROM catalog GROUP BY date"""
+    q["kpis_kept_up"] = w(CATALOG) + """
+SELECT count(*) AS n_rows, count(DISTINCT item_id) AS n_items, count(DISTINCT store_id) AS n_stores, min(date) AS first_date, max(date) AS last_date
+FROM catalog"""
+    q["predict_components"] = w(base, _projected()) + f"""
+SELECT item_id, store_id, ds, {r('trend + weekly + yearly')} AS yhat, {r(f'trend + weekly + yearly - {BAND_Z!r} * sd')} AS yhat_lower,
+       {r(f'trend + weekly + yearly + {BAND_Z!r} * sd')} AS yhat_upper, {r('trend')} AS trend, {r('weekly')} AS weekly, {r('yearly')} AS yearly
+FROM predicted"""
     return q
 
 
+def _projected() -> str:
+    """Coefficients by projection, and trend, seasonal and band terms at each day of the spine."""
+    cps = [A.CHANGEPOINT_RANGE * j / A.N_CHANGEPOINTS for j in range(1, A.N_CHANGEPOINTS + 1)]
+
+    def waves(period: float, order: int) -> list[str]:
+        return [f"{f}({2.0 * math.pi * i / period!r}::DOUBLE * day)" for i in range(1, order + 1) for f in ("sin", "cos")]
+
+    year, week = waves(A.YEAR_PERIOD, A.YEAR_ORDER), waves(A.WEEK_PERIOD, A.WEEK_ORDER)
+    jumps = [f"coalesce(0.1 * (avg(v) FILTER (WHERE t > {s!r}) - avg(v) FILTER (WHERE t <= {s!r})), 0.0)" for s in cps]
+    coefficients = {f"j{i}": x for i, x in enumerate(jumps)} | {f"a{i}": f"2.0 * avg(v * {x})" for i, x in enumerate(year)} | {f"b{i}": f"2.0 * avg(v * {x})" for i, x in enumerate(week)}
+    return f"""
+px AS (
+  SELECT *, CASE WHEN most > 0 THEN most ELSE 1.0 END AS y_scale FROM (
+    SELECT item_id, store_id, ds, y, cast(datediff('day', DATE '1970-01-01', ds) AS DOUBLE) AS day,
+           min(cast(datediff('day', DATE '1970-01-01', ds) AS DOUBLE)) OVER s AS d0, greatest(cast(datediff('day', min(ds) OVER s, max(ds) OVER s) AS DOUBLE), 1.0) AS span, max(abs(y)) OVER s AS most
+    FROM model_input WINDOW s AS (PARTITION BY item_id, store_id))),
+pm AS (
+  SELECT item_id, store_id, any_value(d0) AS d0, any_value(span) AS span, any_value(y_scale) AS y_scale, coalesce(regr_slope(v, t), 0.0) AS k, coalesce(regr_intercept(v, t), avg(v)) AS m,
+         coalesce(stddev_samp(v), 0.0) AS sigma, max(ds) AS last_ds, {", ".join(f"{x} AS {c}" for c, x in coefficients.items())}
+  FROM (SELECT *, (day - d0) / span AS t, y / y_scale AS v FROM px) GROUP BY item_id, store_id),
+spine AS (
+  SELECT item_id, store_id, ds FROM model_input
+  UNION ALL
+  SELECT item_id, store_id, cast(last_ds + h * INTERVAL 1 DAY AS DATE) FROM pm, (SELECT unnest(generate_series(1, 90)) AS h)),
+at_day AS (
+  SELECT s.ds, m.*, cast(datediff('day', DATE '1970-01-01', s.ds) AS DOUBLE) AS day, (cast(datediff('day', DATE '1970-01-01', s.ds) AS DOUBLE) - d0) / span AS t,
+         ({" + ".join(f"abs(j{i})" for i in range(len(cps)))}) / {len(cps)}.0 AS lam
+  FROM spine s JOIN pm m USING (item_id, store_id)),
+predicted AS (
+  SELECT item_id, store_id, ds,
+         (k * t + m + {" + ".join(f"j{i} * greatest(t - {s!r}, 0.0)" for i, s in enumerate(cps))}) * y_scale AS trend,
+         ({" + ".join(f"a{i} * {x}" for i, x in enumerate(year))}) * y_scale AS yearly,
+         ({" + ".join(f"b{i} * {x}" for i, x in enumerate(week))}) * y_scale AS weekly,
+         sqrt(sigma * sigma + CASE WHEN t > 1 THEN 2.0 / 3.0 * {len(cps)} * lam * lam * pow(t - 1, 3) ELSE 0.0 END) * y_scale AS sd
+  FROM at_day)"""
+
+
 SQL = _sql()

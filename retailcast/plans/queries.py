@@ -28,9 +28,12 @@ from ..operators import evaluate as E
 from ..operators import policy as P
 from ..operators import profile as Q
 from ..operators import replay as RP
+from ..operators import rollups as RU
 from ..operators import runs as R
 from ..operators import series as S
+from ..operators.additive_model import predict_components, projected_models
 from ..operators.reshape import melt, to_model_input
+from ..operators.rollups import RollupStore
 from ..operators.seasonal import seasonal_frame
 from ..session import checkpoint_dir
 from ..sources.runs_store import RunStore
@@ -400,6 +403,35 @@ def q_saved_runs_view(i: Inputs) -> DataFrame:
     return _stored_runs(i).explore("Lowest MAPE (best fit)", store_id=RUNS_STORE)
 
 
+def _kept_up(i: Inputs):
+    """Partials of all days but the last two, then each of these appended (the first of them twice)."""
+    store = RollupStore(i.spark, _scratch(i, "rollups"))
+    _, hi = fx.ship_bounds(i.spark, i.sf)
+    back = F.date_diff(hi, F.col("date"))
+    for batch, days in (("history", back >= 2), ("next", back == 1), ("next", back == 1), ("last", back == 0)):
+        store.append(i.catalog.where(days), batch)
+    return store.read()
+
+
+def q_demand_summary_kept_up(i: Inputs) -> DataFrame:
+    return _round_cols(RU.demand_summary(_kept_up(i)), {"avg_daily_demand"})
+
+
+def q_daily_total_kept_up(i: Inputs) -> DataFrame:
+    return RU.daily_total(_kept_up(i))
+
+
+def q_kpis_kept_up(i: Inputs) -> DataFrame:
+    return RU.kpis(_kept_up(i))
+
+
+def q_predict_components(i: Inputs) -> DataFrame:
+    """Additive prediction from a table of coefficients, for the history and the next 90 days (M2-M4)."""
+    models = projected_models(i.model_input)
+    out = predict_components(models, S.future_spine(i.model_input, K.DEFAULT_HORIZON))
+    return _round_cols(out, {"yhat", "yhat_lower", "yhat_upper", "trend", "weekly", "yearly"})
+
+
 def q_dept_products_labels(i: Inputs) -> DataFrame:
     """Products of one department by demand, as the choice list shows them."""
     return C.dept_products(C.demand_summary(i.catalog), ONE_DEPT, with_label=True).select("rank", "item_id", "label")
@@ -447,6 +479,10 @@ REGISTRY = {
     "saved_runs_roundtrip": q_saved_runs_roundtrip,
     "saved_runs_view": q_saved_runs_view,
     "dept_products_labels": q_dept_products_labels,
+    "demand_summary_kept_up": q_demand_summary_kept_up,
+    "daily_total_kept_up": q_daily_total_kept_up,
+    "kpis_kept_up": q_kpis_kept_up,
+    "predict_components": q_predict_components,
 }
 
 
