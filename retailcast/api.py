@@ -25,6 +25,7 @@ from .operators.reshape import to_model_input
 from .operators.seasonal import seasonal_frame
 from .plans.etl import build_sales_clean, write_curated
 from .sources import files
+from .sources.forecasts import save_forecast
 from .sources.runs_store import RunStore
 
 PolicyParams = P.PolicyParams
@@ -140,17 +141,6 @@ def save_results(store: RunStore, result: PipelineResult,
                       params, run_at)
 
 
-def save_forecast(frame: DataFrame, path: str, single_item: tuple[str, str] | None = None,
-                  mode: str = "overwrite") -> None:
-    """Write the forecast of every series as one dataset partitioned by store
-    (S6); ``single_item`` writes one series' extract instead."""
-    out = frame.select("item_id", "store_id", "ds", "is_future", "yhat", "yhat_lower",
-                       "yhat_upper", "trend", "weekly", "yearly")
-    if single_item:
-        out = S.single_series(out, *single_item)
-    files.write_parquet(out, path, ["store_id"], mode)
-
-
 def open_store(spark: SparkSession, root: str) -> RunStore:
     """Saved-runs tables under ``root`` (C5: load_all_runs / load_run_forecast / query_runs)."""
     return RunStore(spark, root)

@@ -61,6 +61,20 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
+def shapes(tables: dict[str, DataFrame]) -> DataFrame:
+    """``table_name, n_rows, n_cols`` of several tables (Q1), each counted once."""
+    one = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_cols")) for name, df in tables.items()]
+    out = one[0]
+    for df in one[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """First and last ``n`` rows by an explicit order (Q2), with ``side`` head or tail."""
+    return head(df, n, order_by).withColumn("side", F.lit("head")).unionByName(tail(df, n, order_by).withColumn("side", F.lit("tail")))
+
+
 def first_row(df: DataFrame, order_by: Sequence) -> DataFrame:
     """The first matching row under an explicit order (O7), as a one-row frame."""
     return df.orderBy(*order_by).limit(1)

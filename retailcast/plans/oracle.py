@@ -496,6 +496,20 @@ WHERE store_id = '{RUNS_STORE}'"""
 SELECT cast(row_number() OVER (ORDER BY avg_daily_demand DESC NULLS LAST, item_id) AS INTEGER) AS rank, item_id,
        item_id || '  —  ' || printf('%.2f', round(avg_daily_demand * 100) / 100) || ' units/day' AS label
 FROM summary WHERE dept_id = '{ONE_DEPT}'"""
+    q["csv_curated"] = w(base) + f"""
+SELECT item_id, store_id, state_id, cat_id, dept_id, date, cast(sales AS INTEGER) AS sales, {r('sell_price')} AS sell_price FROM sales_clean"""
+    q["stored_forecast"] = fr + f"""
+SELECT item_id, store_id, ds, is_future, {", ".join(f"{r(c)} AS {c}" for c in ("yhat", "yhat_lower", "yhat_upper", "trend"))} FROM frame"""
+    q["table_shapes"] = w(base) + """
+SELECT 'calendar' AS table_name, count(*) AS n_rows, cast(3 AS BIGINT) AS n_cols FROM calendar
+UNION ALL SELECT 'sell_prices', count(*), 4 FROM sell_prices
+UNION ALL SELECT 'sales_long', count(*), 8 FROM sales_long
+UNION ALL SELECT 'sales_clean', count(*), 11 FROM sales_clean"""
+    q["table_preview"] = w(base) + f"""
+SELECT item_id, store_id, date, sales, {r('sell_price')} AS sell_price, side FROM (
+  (SELECT *, 'head' AS side FROM sales_clean ORDER BY item_id, store_id, date LIMIT 5)
+  UNION ALL
+  (SELECT *, 'tail' AS side FROM sales_clean ORDER BY item_id DESC, store_id DESC, date DESC LIMIT 5))"""
     q["demand_summary_kept_up"] = q["demand_summary"]
     q["daily_total_kept_up"] = w(CATALOG) + """
 SELECT date, cast(sum(sales) AS BIGINT) AS total_sales FROM catalog GROUP BY date"""

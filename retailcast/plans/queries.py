@@ -36,6 +36,8 @@ from ..operators.reshape import melt, to_model_input
 from ..operators.rollups import RollupStore
 from ..operators.seasonal import seasonal_frame
 from ..session import checkpoint_dir
+from ..sources import files
+from ..sources.forecasts import save_forecast
 from ..sources.runs_store import RunStore
 from . import etl
 from . import fixtures as fx
@@ -350,6 +352,34 @@ def q_stored_series(i: Inputs) -> DataFrame:
     return _round_cols(one.select("item_id", "store_id", "date", "sales", "sell_price"), {"sell_price"})
 
 
+def q_csv_curated(i: Inputs) -> DataFrame:
+    """The three inputs written as CSV, read back and built into the curated table, stored by store."""
+    root = _scratch(i, "csv")
+    files.write_sales_cells_csv(i.wide, f"{root}/sales")
+    i.calendar.write.option("header", True).csv(f"{root}/calendar")
+    i.prices.write.option("header", True).csv(f"{root}/prices")
+    clean = etl.build_sales_clean(files.read_sales_cells_csv(i.spark, f"{root}/sales"), files.read_calendar_csv(i.spark, f"{root}/calendar"), files.read_prices_csv(i.spark, f"{root}/prices"))
+    etl.write_curated(clean, f"{root}/curated")
+    return _round_cols(files.read_curated(i.spark, f"{root}/curated"), {"sell_price"})
+
+
+def q_stored_forecast(i: Inputs) -> DataFrame:
+    """The forecast of every series written as one dataset by store and read back."""
+    path = _scratch(i, "forecast")
+    save_forecast(i.frame(), path)
+    back = i.spark.read.parquet(path)
+    return _round_cols(back.select(*SERIES, "ds", "is_future", *(cols := ["yhat", "yhat_lower", "yhat_upper", "trend"])), set(cols))
+
+
+def q_table_shapes(i: Inputs) -> DataFrame:
+    return Q.shapes({"calendar": i.calendar, "sell_prices": i.prices, "sales_long": i.long, "sales_clean": i.clean})
+
+
+def q_table_preview(i: Inputs) -> DataFrame:
+    """First and last rows of the curated table by series and day (Q2)."""
+    return _round_cols(Q.preview(i.clean.select("item_id", "store_id", "date", "sales", "sell_price"), 5, ["item_id", "store_id", "date"]), {"sell_price"})
+
+
 def _stored_runs(i: Inputs) -> RunStore:
     """Three batches saved one after another; the second one fails after its days and is saved again, the first is
     saved again although it was complete."""
@@ -476,6 +506,10 @@ REGISTRY = {
     "run_detail": q_run_detail,
     "run_forecast": q_run_forecast,
     "stored_series": q_stored_series,
+    "csv_curated": q_csv_curated,
+    "stored_forecast": q_stored_forecast,
+    "table_shapes": q_table_shapes,
+    "table_preview": q_table_preview,
     "saved_runs_roundtrip": q_saved_runs_roundtrip,
     "saved_runs_view": q_saved_runs_view,
     "dept_products_labels": q_dept_products_labels,

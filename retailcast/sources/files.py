@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ID_COLUMNS
 from ..functions.scalar import nan_to_null
-from ..operators.reshape import header_of, to_cells, with_header
+from ..operators.reshape import CELLS, header_of, to_cells, with_header
 
 # Columns the planning views keep from the curated table.
 CURATED_COLUMNS = ["item_id", "store_id", "state_id", "cat_id", "dept_id", "date", "sales",
@@ -103,6 +103,26 @@ def read_sales_cells_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*ids, with_header(_whole_numbers(cells, days) if days else cells.cast("array<int>"), header_of(days)))
 
 
+def write_sales_cells_csv(wide: DataFrame, path: str) -> None:
+    """A cells table as wide CSV files, each with the header line."""
+    header = wide.schema[CELLS].metadata["header"]
+    if "names" in header:
+        days = F.lit(header["names"])
+    else:
+        days = F.transform(F.sequence(F.lit(0), F.size(CELLS) - 1), lambda i: F.concat(F.lit(header["prefix"]), (i + header["first"]).cast("string")))
+
+    def cell(c) -> Column:
+        return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    values = F.transform(CELLS, lambda v: F.coalesce(v.cast("string"), F.lit("")))
+    line = F.concat_ws(",", *[cell(c) for c in ID_COLUMNS], values)
+    head = F.concat_ws(",", *[F.lit(c) for c in ID_COLUMNS], days)
+    # The first row of each task, and so of each file, brings the header.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = wide.select(first.alias("first"), head.alias("head"), line.alias("line"))
+    lines.select(F.explode(F.when(F.col("first"), F.array("head", "line")).otherwise(F.array("line"))).alias("value")).write.text(path)
+
+
 def read_sales_cells_parquet(spark: SparkSession, path: str) -> DataFrame:
     """A wide Parquet file (a column for each day) as ids and one ``cells array<int>``."""
     return to_cells(spark.read.parquet(path))
