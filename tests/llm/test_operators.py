@@ -295,6 +295,35 @@ def test_source_mix(docs_of):
     assert mix_sources(empty(docs_of)).count() == 0
 
 
+def test_source_mix_splits_equal_rows(spark, docs_of):
+    """Rows that share a hash are taken in part: as many as come nearest to the target, alike on every run."""
+    rows = [(None, "one two three four five six", "s")] * 1000 + [(i, "a b", "t") for i in range(30)] + [(500, "x " * 40, "u")] * 7
+    runs = [mix_sources(docs_of(rows).repartition(parts)).collect() for parts in (1, 5)]
+    for got in runs:
+        taken, target, size = Counter(), {}, {"s": 6, "t": 2, "u": 40}
+        for r in got:
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+        assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= size[s] for s in taken)
+    assert keyed(runs[0], 9) == keyed(runs[1], 9)
+    # Rows that differ in another column only: the same ones each time.
+    tagged = [spark.createDataFrame([(1, "a b c", "s", i) for i in range(100)] + [(2, "x", "t", 0)], "doc_id long, text string, source string, tag int").repartition(p) for p in (2, 7)]
+    assert keyed(mix_sources(tagged[0]).collect(), 9) == keyed(mix_sources(tagged[1]).collect(), 9)
+
+
+def test_source_mix_with_clashing_columns(docs_of):
+    clash = ["times", "below", "__of", "__target", "hash", "rank", "edge", "take", "mix_hash", "mix_rank", "source_rank"]
+    docs = docs_of(ROWS)
+    for i, c in enumerate(clash):
+        docs = docs.withColumn(c, F.lit(i))
+    got = mix_sources(docs)
+    assert got.columns == [*docs.columns, "size", "source_size", "target", "taken"]
+    rows = got.collect()
+    assert len(rows) == len(ROWS) and all(r[c] == i for r in rows for i, c in enumerate(clash))
+    plain = Counter((r["doc_id"], r["text"], r["taken"]) for r in mix_sources(docs_of(ROWS)).collect())
+    assert Counter((r["doc_id"], r["text"], r["taken"]) for r in rows) == plain
+
+
 def test_packing(docs_of):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_file())
