@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .arrays import U64, grams_hash, mix, per_item, words_hash, words_of
 from .blocks import text_arrays
-from .shared import Scratch
+from .shared import Scratch, free_name
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 SPACES = " \t\n\x0b\x0c\r"
@@ -64,12 +64,11 @@ def _measure(batches):
             end = max(begin + 1, int(np.searchsorted(off, off[begin] + CHUNK, side="right")) - 1)
             part, at = text[off[begin]:off[end]], off[begin:end + 1] - off[begin]
             repeats, raw = repeated_words(part, at), part.tobytes()
-            rows = {c: [] for c in ("content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "lines", "chars")}
+            rows = {c: [] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "lines", "chars")}
             for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 doc = raw[x:y]
                 lines = [s for s in doc.split(b"\n") if s.strip()]
                 chars = [len(s) if s.isascii() else len(s.decode()) for s in lines]
-                rows["content"].append(xxhash.xxh3_64_intdigest(doc) - (1 << 63))
                 rows["n_words"].append(len(doc.split()))
                 rows["word_chars"].append(_solid_chars(doc))
                 rows["n_symbols"].append(sum(doc.count(c) for c in _SYMBOL_BYTES))
@@ -77,7 +76,7 @@ def _measure(batches):
                 rows["lines"].append([line_hash(s) for s in lines])
                 rows["chars"].append(chars)
             yield pa.RecordBatch.from_arrays([
-                ids.slice(begin, end - begin).cast(pa.int64()), hosts.slice(begin, end - begin).cast(pa.string()), pa.array(rows["content"], type=pa.int64()),
+                ids.slice(begin, end - begin).cast(pa.int64()), hosts.slice(begin, end - begin).cast(pa.string()), b.column("content").slice(begin, end - begin),
                 pa.array(rows["n_words"], type=pa.int64()), pa.array(rows["word_chars"], type=pa.int64()), pa.array(rows["n_symbols"], type=pa.int64()),
                 pa.array(rows["n_dup_lines"], type=pa.int64()), pa.array(repeats, type=pa.int64()),
                 pa.array(rows["lines"], type=pa.list_(pa.int64())), pa.array(rows["chars"], type=pa.list_(pa.int32()))],
@@ -96,7 +95,7 @@ def _solid_chars(doc: bytes) -> int:
 
 def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """One row per document: base counts, a hash of the whole text, and its lines' hashes and lengths."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[host_col].cast("string").alias("host"), docs[text_col].alias("text")).mapInArrow(_measure, _SCHEMA)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[host_col].cast("string").alias("host"), docs[text_col].alias("text"), _content(docs[text_col]).alias("content")).mapInArrow(_measure, _SCHEMA)
 
 
 def frequent_lines(measured: DataFrame, least: int, share: float) -> DataFrame:
@@ -114,7 +113,7 @@ def frequent_lines(measured: DataFrame, least: int, share: float) -> DataFrame:
 def judge(spark, docs: DataFrame, id_col: str, text_col: str, host_col: str, least: int, share: float, keep_share: float, min_words: int, max_repeat: int) -> DataFrame:
     """Measured documents with ``removed_lines`` (hashes of their frequent lines), ``base_failed`` and ``kept``."""
     scratch = Scratch(spark, "line_freq")
-    measured = scratch.write(measure(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()), "measured")
+    measured = scratch.write(measure(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()), "measured", batch_rows=TEXTS)
     bad = scratch.write(frequent_lines(measured, least, share), "frequent").select(F.col("host").alias("of"), F.col("line").alias("bad"))
     lines = measured.select("row", "host", F.explode(F.arrays_zip("lines", "chars")).alias("x")).select("row", "host", F.col("x.lines").alias("line"), F.col("x.chars").alias("chars"))
     hit = lines.join(bad, lines["host"].eqNullSafe(bad["of"]) & (lines["line"] == bad["bad"])).groupBy(F.col("row").alias("in")).agg(F.sum("chars").alias("removed_chars"), F.collect_set("line").alias("removed_lines"))
@@ -125,6 +124,9 @@ def judge(spark, docs: DataFrame, id_col: str, text_col: str, host_col: str, lea
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
+#: Texts of an Arrow batch.
+TEXTS = 500
+
 # The share of the host decides at every size; ``least`` only keeps a few chance repeats in a host
 # of under 500 texts from counting as boilerplate.
 LIMITS = {"least": 5, "share": 0.01, "keep_share": 0.2, "min_words": 20, "max_repeat": 30}
@@ -137,24 +139,25 @@ def keep_good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     there is such a column.  Rows are matched by id and content, so repeated rows go or stay
     together.
     """
-    docs = docs.withColumn(id_col, F.col(id_col).cast("long"))
+    docs = docs.withColumn(id_col, F.col(f"`{id_col}`").cast("long"))
     judged = judge(docs.sparkSession, docs, id_col, text_col, host_col, **(LIMITS | limits)).where("kept")
     kept = judged.groupBy("doc_id", "host", "content").agg(F.first(F.coalesce("removed_lines", F.array().cast("array<long>"))).alias("removed"))
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("content").alias("__content"), F.col("removed").alias("__removed"))
-    marked = docs.withColumn("__hash", _content(F.col(text_col)))
-    met = marked.join(kept, marked[id_col].eqNullSafe(F.col("__id")) & marked[host_col].cast("string").eqNullSafe(F.col("__host")) & (F.col("__hash") == F.col("__content")))
-    out = met.withColumn(text_col, F.when(F.size("__removed") > 0, _without(F.col(text_col), F.col("__removed"))).otherwise(F.coalesce(text_col, F.lit(""))))
+    own = {c: free_name(docs.columns, f"kept_{c}") for c in ("doc_id", "host", "content", "removed", "hash")}
+    kept = kept.select(*[F.col(c).alias(own[c]) for c in ("doc_id", "host", "content", "removed")])
+    col = {c: F.col(f"`{c}`") for c in docs.columns}
+    marked = docs.withColumn(own["hash"], _content(col[text_col]))
+    met = marked.join(kept, col[id_col].eqNullSafe(F.col(own["doc_id"])) & col[host_col].cast("string").eqNullSafe(F.col(own["host"])) & (F.col(own["hash"]) == F.col(own["content"])))
+    # Written a few hundred texts at a time: an Arrow batch of the session's size may hold 10,000 long ones.
+    out = met.withColumn(text_col, _without(F.coalesce(col[text_col], F.lit("")), F.col(own["removed"]))).select(*col.values())
+    out = Scratch(docs.sparkSession, "line_freq").write(out, "kept", batch_rows=TEXTS)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast("long"))
-    return out.select(*docs.columns)
+    return out.select(*[col[c] for c in docs.columns])
 
 
 def _content(text: Column) -> Column:
-    @F.arrow_udf("long")
-    def content(texts: pa.Array) -> pa.Array:
-        return pa.array([xxhash.xxh3_64_intdigest((t or "").encode()) - (1 << 63) for t in texts.to_pylist()], type=pa.int64())
-
-    return content(text)
+    """A hash of the whole text (null is the empty text)."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _without(text: Column, removed: Column) -> Column:
@@ -162,7 +165,7 @@ def _without(text: Column, removed: Column) -> Column:
     def without(texts: pa.Array, hashes: pa.Array) -> pa.Array:
         out = []
         for t, gone in zip(texts.to_pylist(), map(set, hashes.to_pylist()), strict=True):
-            out.append("\n".join(s for s in (t or "").split("\n") if not gone or not s.strip(SPACES) or line_hash(s.encode()) not in gone))
+            out.append("\n".join(s for s in t.split("\n") if not s.strip(SPACES) or line_hash(s.encode()) not in gone) if gone else t)
         return pa.array(out, type=pa.string())
 
     return without(text, removed)

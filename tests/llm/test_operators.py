@@ -295,6 +295,17 @@ def test_source_mix(docs_of):
     assert mix_sources(empty(docs_of)).count() == 0
 
 
+def test_good_documents_with_clashing_columns(docs_of):
+    clash = ["__id", "__hash", "__host", "content", "removed", "kept_doc_id", "kept_hash", "lines", "row"]
+    docs = docs_of(ROWS)
+    for i, c in enumerate(clash):
+        docs = docs.withColumn(c, F.lit(i))
+    got = keep_good_documents(docs, min_words=3)
+    assert got.columns == docs.columns
+    assert all(r[c] == i for r in got.collect() for i, c in enumerate(clash))
+    assert keyed(got.select("doc_id", "text").collect(), 2) == keyed(keep_good_documents(docs_of(ROWS), min_words=3).select("doc_id", "text").collect(), 2)
+
+
 def test_source_mix_splits_equal_rows(spark, docs_of):
     """Rows that share a hash are taken in part: as many as come nearest to the target, alike on every run."""
     rows = [(None, "one two three four five six", "s")] * 1000 + [(i, "a b", "t") for i in range(30)] + [(500, "x " * 40, "u")] * 7
