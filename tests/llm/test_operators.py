@@ -338,7 +338,9 @@ def test_source_mix_with_clashing_columns(docs_of):
 def test_packing(docs_of):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_file())
-    rows = ROWS + [(200, "It's <|endoftext|> naïve, İstanbul. 12,3 don't. ... a,. é,", "s")]
+    mark = packing._Words(open(tokenizer_file(), encoding="utf-8").read()).mark.strip()
+    rows = ROWS + [(200, "It's <|endoftext|> naïve, İstanbul. 12,3 don't. ... a,. é,", "s"), (201, "Be <|ENDOFTEXT|>. Here's.\x1cB,\u00a0c.\x85 D.", "s"),
+                   (202, f"{mark} {mark}-{mark}, 4{mark}! x{mark}. ({mark}) e\u0301. \u0301x", "s")]
     want = Counter()
     for d, text, _ in rows:
         ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
@@ -354,6 +356,10 @@ def test_packing(docs_of):
         b.sort()
         assert [x for x, _ in b] == np.cumsum([0, *(n for _, n in b)])[:-1].tolist() and sum(n for _, n in b) <= 256
     assert len(bins) <= math.ceil(sum(r["length"] for r in got) / 256) + 3
+    assert all(r["gap"] >= 0 for r in got) and all(r["gap"] == 0 for r in got if r["length"] == 256)
+    alone = packing.pack_documents(docs_of(rows), tokenizer_file(), max_tokens=256).collect()
+    short = np.array([r["length"] for r in alone if r["length"] < 256])
+    assert {r["gap"] for r in alone} <= {0, len({r["sequence_id"] for r in alone if r["length"] < 256}) - packing.lower_bound(short, 256)}
     assert packing.pack_documents(empty(docs_of), tokenizer_file()).count() == 0
 
 
