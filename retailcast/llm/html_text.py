@@ -149,6 +149,12 @@ class Lines(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no known keyword: up to the next ">" it is a comment
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
         if not (self.open and self.open[-1][0] in ("script", "style")):
             self.parts.append(data)

@@ -56,7 +56,7 @@ def test_boilerplate_inside_an_article():
 
 
 def test_odd_pages():
-    assert [main_text(x) for x in ("", "<nav>x</nav>", "<div class=ad>x</div>", "<form>", "plain", "<p>&amp;&nbsp; a <b>b</b>\n c")] == ["", "", "", "", "plain", "& a b c"]
+    assert [main_text(x) for x in ("", "<nav>x</nav>", "<div class=ad>x</div>", "<form>", "plain", "<p>&amp;&nbsp; a <b>b</b>\n c", "<p>a<![odd thing>b<![if !IE]>c<![endif]>", "a <![open")] == ["", "", "", "", "plain", "& a b c", "abc", "a <![open"]
 
 
 def test_time_is_linear_in_depth():
