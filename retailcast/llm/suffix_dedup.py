@@ -175,28 +175,48 @@ def _grams(_, payloads):
     return out
 
 
+def _order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts the keys (of at most ``bits`` bits), and the sorted keys.
+
+    Where a key and its place fit in 64 bits they are sorted as one value: many times faster.
+    """
+    place = max(1, (len(key) - 1).bit_length())
+    if bits + place > 64:
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = np.sort((key << U64(place)) | np.arange(len(key), dtype=U64))
+    return (both & U64((1 << place) - 1)).astype(np.int64), both >> U64(place)
+
+
 def suffix_array(symbols: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[np.ndarray, list]:
     """Positions ``wanted`` sorted by the symbols from there on (0 ends a text), by rank doubling.
 
-    symbols: 1..256 with ``depth`` zeros at the end -> (sorted positions, ranks at each length).
+    symbols: 0..256 with ``depth`` zeros at the end -> (sorted positions, ranks at each length).
     """
     n = len(symbols) - depth
+    used = np.bincount(symbols, minlength=257) > 0
+    used[0] = True
+    dense = (np.cumsum(used) - 1).astype(U64)[symbols]  # the symbols that there are, numbered
+    bits = max(1, int(used.sum() - 1).bit_length())
+    length = max(2, min(7, (64 - n.bit_length()) // bits))
     key = np.zeros(n, dtype=U64)
-    for i in range(7):
-        key = (key << U64(9)) | symbols[i:i + n].astype(U64)
-    levels, length = [], 7
+    for i in range(length):
+        key = (key << U64(bits)) | dense[i:i + n]
+    bits *= length
+    levels = []
     while True:
-        order = np.argsort(key, kind="stable")
-        s = key[order]
+        order, s = _order(key, bits)
         new = np.ones(n, dtype=bool)
         new[1:] = s[1:] != s[:-1]
         rank = np.zeros(len(symbols), dtype=np.int32)
         rank[order] = np.cumsum(new)
         levels.append((length, rank))
-        if length >= depth:
+        if length >= depth or new.all():
             break
+        half = max(1, n.bit_length())
+        bits = 2 * half
         key = rank[:n].astype(U64)
-        key <<= U64(32)
+        key <<= U64(half)
         after = min(n, len(symbols) - length)
         key[:after] |= rank[length:length + after].astype(U64)
         length *= 2
