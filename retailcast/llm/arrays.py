@@ -25,6 +25,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def mix_in_place(h: np.ndarray, room: np.ndarray) -> None:
+    """``mix`` of ``h`` written to ``h``; ``room`` is overwritten."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        np.right_shift(h, U64(shift), out=room)
+        h ^= room
+        if factor:
+            h *= U64(factor)
+
+
 def inverse(a: int) -> int:
     return pow(int(a), -1, 1 << 64)
 

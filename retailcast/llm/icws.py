@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import BASES, SEEDS, U64, grams_hash, mix, per_item, prefix, spans_hash, words_hash, words_of
+from .arrays import BASES, SEEDS, U64, grams_hash, mix, mix_in_place, per_item, prefix, spans_hash, words_hash, words_of
 from .blocks import Block, each_block, output_schema, rows_table, write_blocks
 from .components import components, joined
 from .shared import Scratch
@@ -29,6 +29,7 @@ BANDS, ROWS = 10, 3
 SIMILAR = 0.8
 AGREE = 15  # of BANDS x ROWS samples; at similarity 0.8 fewer agree once in 10,000 times
 CHUNK = 4096
+TOGETHER = 1 << 16
 SIGNATURE = "row long, doc_id long, n_words long, a long, b long, bands array<long>, samples binary"
 
 
@@ -44,9 +45,15 @@ def shingles(block: Block) -> tuple[np.ndarray, np.ndarray, tuple]:
     return np.concatenate([doc[whole], short]), np.concatenate([grams[whole], tail]), (words, bounds, count)
 
 
+def by_document(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Order by document, then hash; a block has at most 2^14 documents."""
+    order = np.argsort(h)
+    return order[np.argsort(doc[order].astype(np.uint16), kind="stable")]
+
+
 def distinct_shingles(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (document, shingle) sorted, and how often each occurs."""
-    order = np.lexsort((h, doc))
+    order = by_document(doc, h)
     d, s = doc[order], h[order]
     new = np.ones(len(d), dtype=bool)
     new[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1])
@@ -71,7 +78,8 @@ def frequencies(scratch: Scratch, blocks: DataFrame) -> np.ndarray:
         for b in batches:
             for row in b.to_pylist():
                 doc, h, _ = shingles(Block(row))
-                key = np.unique((doc.astype(np.int64) << FEATURE_BITS) | feature(h))
+                key = np.sort((doc.astype(np.int64) << FEATURE_BITS) | feature(h))
+                key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
                 total += np.bincount(key & ((1 << FEATURE_BITS) - 1), minlength=len(total))
         for i in range(0, len(total), width):
             if (part := total[i:i + width]).any():
@@ -118,28 +126,49 @@ def samples(doc_starts: np.ndarray, h: np.ndarray, weight: np.ndarray, table: np
     """``n`` weighted samples of every document (one per row), as hashes of (shingle, level).
 
     Ioffe's scheme: with r, c ~ Gamma(2, 1) and b ~ U(0, 1) of the shingle, t = floor(ln w / r + b)
-    and the shingle with the least ln c - r (t - b + 1) is drawn.
+    and the shingle with the least ln c - r (t - b + 1) is drawn.  Documents are taken about
+    ``TOGETHER`` shingles at a time, whose arrays stay in the processor's cache.
     """
     out = np.zeros((len(doc_starts), n), dtype=U64)
-    log_w, low = np.log(weight).astype(np.float32), U64(0xFFFF)
-    sizes = np.diff(np.append(doc_starts, len(h)))
-    for k in range(n):
-        u = mix(h + U64((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF))
-        r = table[(u & low).astype(np.int32)]
-        b = ((u >> U64(32)) & low).astype(np.float32) / np.float32(65536)
-        t = np.floor(log_w / r + b)
-        a = log_table[((u >> U64(16)) & low).astype(np.int32)] - r * (t - b + 1)
-        least = np.minimum.reduceat(a, doc_starts)
-        hit = np.flatnonzero(a == np.repeat(least, sizes))
-        # ties (equal shingles of the table) go to the smallest hash, which is the first of a document
-        which = np.searchsorted(doc_starts, hit, side="right") - 1
-        first = np.ones(len(hit), dtype=bool)
-        first[1:] = which[1:] != which[:-1]
-        hit = hit[first]
-        out[:, k] = mix(h[hit] ^ mix(t[hit].astype(np.int64).astype(U64) + U64(k)))
+    log_w = np.log(weight).astype(np.float32)
+    ends, first = np.append(doc_starts[1:], len(h)), 0
+    while first < len(doc_starts):
+        begin = int(doc_starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, begin + TOGETHER, side="right")))
+        end = int(ends[last - 1])
+        _draw(h[begin:end], log_w[begin:end], doc_starts[first:last] - begin, table, log_table, out[first:last])
+        first = last
     return out
 
 
+def _draw(h, log_w, starts, table, log_table, out) -> None:
+    """One sample of every document into each column of ``out``; all large arrays are written in place."""
+    sizes = np.diff(np.append(starts, len(h)))
+    u, v = np.empty(len(h), U64), np.empty(len(h), U64)
+    r, a, t = (np.empty(len(h), np.float32) for _ in range(3))
+    bits = u.astype("<u8", copy=False).view("<u2").reshape(-1, 4)
+    for k in range(out.shape[1]):
+        np.add(h, U64((0x9E3779B97F4A7C15 * (k + 1)) & 0xFFFFFFFFFFFFFFFF), out=u)
+        mix_in_place(u, v)
+        np.take(table, bits[:, 0], out=r, mode="clip")
+        np.take(log_table, bits[:, 1], out=a, mode="clip")
+        b = bits[:, 2].astype(np.float32)
+        b /= np.float32(65536)
+        np.divide(log_w, r, out=t)
+        t += b
+        np.floor(t, out=t)
+        np.subtract(t, b, out=b)
+        b += np.float32(1)
+        b *= r
+        a -= b
+        hit = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, starts), sizes))
+        if len(hit) > len(starts):
+            # ties (equal shingles of the table) go to the smallest hash, which is the first of a document
+            which = np.searchsorted(starts, hit, side="right")
+            hit = hit[np.append(True, which[1:] != which[:-1])]
+        out[:, k] = mix(h[hit] ^ mix(t[hit].astype(np.int64).astype(U64) + U64(k)))
+
+
 def _signatures(idf, tables):
     def sign(block: Block, number: int) -> list[tuple]:
         doc, h, (words, bounds, count) = shingles(block)
@@ -177,7 +206,7 @@ def _chosen(block: Block, rows: list[int]) -> tuple[list[int], np.ndarray, np.nd
 def _vectors(block: Block, rows: list[int], _) -> list[tuple]:
     """(row, all shingle hashes sorted, with repeats) of the asked rows."""
     rows, doc, h = _chosen(block, rows)
-    order = np.lexsort((h, doc))
+    order = by_document(doc, h)
     doc, h = doc[order], h[order]
     at = np.searchsorted(doc, np.arange(len(rows) + 1))
     return [(r, h[a:b].tobytes()) for r, a, b in zip(rows, at[:-1].tolist(), at[1:].tolist(), strict=True)]
