@@ -139,6 +139,11 @@ def _rows(rows: list[tuple], schema: pa.Schema, per: int = 64) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
+def arrow_rows(rows: list[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of ``schema``."""
+    return _rows(rows, _arrow_schema(schema))
+
+
 def shard_bounds(sorted_hashes: np.ndarray, shards: int) -> np.ndarray:
     """Bounds of the shards (by the upper bits) in a sorted array of hashes."""
     bits = shards.bit_length() - 1

@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from retailcast.llm import icws, packing, suffix_dedup
+from retailcast.llm import icws, line_dedup, packing, suffix_dedup
+from retailcast.llm.blocks import arrow_rows
 from retailcast.llm.debruijn import dedup_passages
 from retailcast.llm.html_text import extract_main_text, main_text
 from retailcast.llm.icws import near_duplicates
@@ -79,6 +80,43 @@ def test_perfect_hash_is_minimal_and_perfect():
     assert sorted(t.slot(a, a[::-1].copy()).tolist()) == list(range(len(a)))
 
 
+def test_line_index_is_written_and_probed():
+    rng = np.random.default_rng(2)
+    a, b = (rng.integers(0, 2**63, 3000).astype(np.uint64) for _ in "ab")
+    n, last = rng.integers(1, 6, 3000), rng.integers(-9, 9, 3000)
+    shard, *columns = line_dedup.LineIndex.over(a, b, n, last).row(7)
+    index = line_dedup.LineIndex.read(dict(zip(["sizes", "bits", "fingerprints", "counts", "newest"], columns)))
+    hit, newest = index.probe(a, b, 3)
+    assert shard == 7 and hit.tolist() == (n >= 3).tolist() and newest.tolist() == last[n >= 3].tolist()
+    assert not index.probe(a + np.uint64(1), b, 1)[0].any()
+
+
+def test_line_shards_add_up_what_streams_in(monkeypatch):
+    rng = np.random.default_rng(3)
+    want, rows = {}, []
+    for block in range(40):
+        k = np.unique(rng.integers(0, 60, 20)).astype(np.uint64)
+        n, last = rng.integers(1, 4, len(k)).astype("<u4"), rng.integers(-50, 50, len(k)).astype("<i8")
+        rows.append((3, block, (k * 7).tobytes() + k.tobytes(), n.tobytes() + last.tobytes()))
+        for x, c, d in zip(k.tolist(), n.tolist(), last.tolist()):
+            old = want.get(x, (0, d))
+            want[x] = old[0] + c, max(old[1], d)
+    monkeypatch.setattr(line_dedup, "MERGE", 50)
+    batches = arrow_rows(rows, line_dedup.NAMED)
+    [out] = [r for b in line_dedup._index_shards(batches) for r in b.to_pylist()]
+    index = line_dedup.LineIndex.read(out)
+    keys = np.array(sorted(want), dtype=np.uint64)
+    slot = index.table.slot(keys * np.uint64(7), keys)
+    assert list(zip(index.counts[slot].tolist(), index.newest[slot].tolist())) == [want[x] for x in keys.tolist()]
+
+
+def test_lines_go_by_what_the_arrays_say(docs_of, monkeypatch):
+    none = lambda self, a, b, min_docs: (np.zeros(len(a), bool), np.zeros(0, "<i8"))
+    assert dedup_lines(docs_of(ROWS)).where("n_dropped > 0").count() > 0
+    monkeypatch.setattr(line_dedup.LineIndex, "probe", none)
+    assert dedup_lines(docs_of(ROWS)).where("n_dropped > 0").count() == 0
+
+
 def covered_by_smaller(rows, cut, k):
     """(id, n items, n removed, kept items) by brute force."""
     items = [(d, cut(t)) for d, t, _ in rows]
