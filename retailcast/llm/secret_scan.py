@@ -12,13 +12,15 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import BASES, U64, mix, powers, prefix
 from .shared import Scratch
 
 # The base patterns of the scan.
@@ -48,6 +50,8 @@ DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d
 WORD = re.compile(r"\b[^\W\d_]{3,32}\b")
 LONGEST = 32
 MOST_WORDS = 1 << 16
+SHORT = 256  # characters up to which every period is compared over the whole value
+PLACES = 1 << 18  # places of a longer one that are compared at once
 _PAIRS = [p for row in KEYBOARD for p in zip(row, row[1:])] + [p for up, low in zip(KEYBOARD, KEYBOARD[1:]) for p in zip(up, low)]
 _NEXT = {*_PAIRS, *((b, a) for a, b in _PAIRS)}
 
@@ -58,32 +62,115 @@ def _class_bits(c: str) -> float:
     return 8.0
 
 
-def _repeats(value: str):
-    """(start, end, period) of the stretches that repeat a block, which is itself no repeat, at least once.
-
-    Periods go up to half the value; beyond 1,448 characters up to 2^20 / length, 64 at least.
-    """
-    n = len(value)
-    a = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    for p in range(1, min(n // 2, max(64, (1 << 20) // max(n, 1))) + 1):
+def _scanned(a: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(start, end, period) of the stretches with each period, one period after the other."""
+    for p in range(1, len(a) // 2 + 1):
         same = a[p:] == a[:-p]
         if same.sum() < p:
             continue
         turns = np.flatnonzero(np.diff(np.concatenate(([False], same, [False])).astype(np.int8)))
-        for s, e in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True):
-            block = value[s:s + p]
-            if e - s >= p and (block + block).find(block, 1) == p:
-                yield s, e + p, p
+        yield from ((s, e + p, p) for s, e in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True) if e - s >= p)
 
 
-def _bits(value: str, ranks: dict[str, int]) -> float:
-    n, low = len(value), value.lower()
-    if len(low) != n:
-        low = value
-    plain = low.translate(LEET)
+def _agreeing(a: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """The same stretches of a long value, some of them twice or more.
+
+    A stretch with period p holds two places x and x + p, x a multiple of p, from which the value
+    agrees with itself backward and forward p characters or more in all.  How far, is found by
+    halving on hashes of the parts, for many x and p at once: n ln n places in all.
+    """
+    n, power, hashes = len(a), powers(BASES[0], len(a) + 1), prefix(mix(a.astype(U64)), BASES[0])
+
+    def agree(x, y, most, way):
+        """Characters in which the parts at x and y agree, forward (1) or backward (-1)."""
+        low, high = np.zeros(len(x), np.int64), most + 1
+        while (high - low > 1).any():
+            mid = (low + high) >> 1
+            x0, y0 = (x, y) if way > 0 else (x - mid, y - mid)
+            same = (hashes[x0 + mid] - hashes[x0]) * power[y - x] == hashes[y0 + mid] - hashes[y0]
+            low, high = np.where(same, mid, low), np.where(same, high, mid)
+        return low
+
+    first = 1
+    while first <= n // 2:
+        last = min(n // 2, first + max(0, PLACES * first // n))
+        periods = np.arange(first, last + 1)
+        count = (n - 1) // periods
+        p = np.repeat(periods, count)
+        x = (np.arange(len(p)) - np.repeat(np.cumsum(count) - count, count)) * p
+        hit = np.flatnonzero(a[x] == a[x + p])
+        x, p = x[hit], p[hit]
+        after, before = agree(x, x + p, n - x - p, 1), agree(x, x + p, x, -1)
+        hit = np.flatnonzero(after + before >= p)
+        yield from zip((x - before)[hit].tolist(), (x + p + after)[hit].tolist(), p[hit].tolist(), strict=True)
+        first = last + 1
+
+
+def _repeats(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, period) of all stretches that repeat a block, which is itself no repeat, at least once."""
+    a = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+    def least(found):
+        # a stretch of a block that is itself a repeat is one of the shorter block, too
+        periods: dict[tuple[int, int], int] = {}
+        for s, e, p in found:
+            periods[s, e] = min(p, periods.get((s, e), p))
+        return [(s, e, p) for (s, e), p in periods.items()]
+
+    if len(a) > SHORT:
+        found = least(_agreeing(a))
+        if all((a[s:e - p] == a[s + p:e]).all() for s, e, p in found):
+            return found  # else different parts had one hash
+    return least(_scanned(a))
+
+
+class _Copies:
+    """The cheapest way to end with copies of a block in a stretch that repeats it, place by place.
+
+    From place j, c copies cost best[j] + bits of the block + log2(c).  The starts that end at a place lie
+    whole blocks apart and their blocks are one.  The logarithm grows ever slower, so an earlier start
+    that is behind a later one may pass it, but never the other way: of the starts in the running
+    the latest leads, and each waits for the next one below it to pass (at once, or it is dropped).
+    """
+
+    def __init__(self, start: int, end: int, period: int):
+        self.start, self.end, self.period = start, end, period
+        self.fewest = 2 + (period == 1)
+        self.running: dict[int, list[tuple[int, float]]] = {}
+        self.bits: dict[int, float] = {}
+
+    def cheapest(self, i: int, best: list[float], bits) -> float:
+        """Cost up to place ``i``, asked for every place from ``fewest`` copies on; ``bits``: of the block at a place."""
+        at, turn = divmod(i - self.start, self.period)
+        running, k = self.running.setdefault(turn, []), at - self.fewest
+        j = self.start + turn + k * self.period
+        cost = best[j]
+        if turn not in self.bits:
+            self.bits[turn] = bits(j, self.period)
+        self._drop(running, at)
+        if not running or cost + math.log2(self.fewest) < running[-1][1] + math.log2(at - running[-1][0]):
+            while len(running) > 1 and self._passed(running[-2], running[-1]) <= self._passed(running[-1], (k, cost)):
+                running.pop()
+            running.append((k, cost))
+        k, cost = running[-1]
+        return cost + (self.bits[turn] + math.log2(at - k)) + 1.0
+
+    def _drop(self, running, at):
+        while len(running) > 1 and running[-2][1] + math.log2(at - running[-2][0]) <= running[-1][1] + math.log2(at - running[-1][0]):
+            running.pop()
+
+    @staticmethod
+    def _passed(early: tuple[int, float], late: tuple[int, float]) -> float:
+        """Where the early start's cost falls to the late one's."""
+        ratio = 2.0 ** (late[1] - early[1])
+        return (ratio * late[0] - early[0]) / (ratio - 1) if ratio > 1 else math.inf
+
+
+def _word_ends(value: str, low: str, ranks: dict[str, int]) -> dict[int, list[tuple[int, float]]]:
+    """Per place the (start, bits) of the words that end there."""
+    n, plain = len(value), low.translate(LEET)
     forms = ((low, 0.0),) if plain == low else ((low, 0.0), (plain, 2.0))
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    walk = 0
+    ends = defaultdict(list)
     for i in range(n):
         for size in range(min(LONGEST, n - i), 2, -1):
             for form, extra in forms:
@@ -93,6 +180,18 @@ def _bits(value: str, ranks: dict[str, int]) -> float:
                     case = 0 if not upper else 1 if upper == size or upper == 1 and shape[0].isupper() else upper + 1
                     ends[i + size].append((i, math.log2(rank + 1) + case + extra))
                     break
+    return ends
+
+
+def _bits(value: str, ranks: dict[str, int], words: dict[int, list[tuple[int, float]]] | None = None, at: int = 0) -> float:
+    """``words``: the words of a longer value that holds ``value`` at ``at``."""
+    n, low = len(value), value.lower()
+    if len(low) != n:
+        low = value
+    if words is None:
+        words = _word_ends(value, low, ranks)
+    ends, walk = defaultdict(list), 0
+    for i in range(n):
         if low[i].isdigit() and (m := DATE.match(low, i)):
             ends[m.end()].append((i, math.log2(365 * 119) if m.end() - i > 4 else math.log2(119)))
         if i and (low[i - 1], low[i]) in _NEXT:
@@ -101,20 +200,33 @@ def _bits(value: str, ranks: dict[str, int]) -> float:
         else:
             walk = i
     blocks: dict[str, float] = {}
-    for s, e, p in _repeats(value):
-        # every start and up to 32 copies, or all; a stretch beyond 4,096 characters is taken whole
-        whole = e - s > 4096
-        for j in range(s, s + min(p, e - s - 2 * p + 1) if whole else e - 2 * p + 1):
-            block, most = value[j:j + p], (e - j) // p
-            if most < 2 + (p == 1):
-                continue
-            if block not in blocks:
-                blocks[block] = _class_bits(block) if p == 1 else _bits(block, ranks)
-            for c in {most} if whole else {most, *range(2 + (p == 1), min(most, 32) + 1)}:
-                ends[j + c * p].append((j, blocks[block] + math.log2(c)))
-    best = [0.0] * (n + 1)
+    shared = words if value.isascii() else None  # elsewhere a letter's lower case may hang on its neighbours
+
+    def block_bits(j: int, p: int) -> float:
+        block = value[j:j + p]
+        if block not in blocks:
+            cost = _class_bits(block) if p == 1 else _bits(block, ranks, shared, at + j if value.isascii() else 0)
+            if p > LONGEST:
+                return cost  # each long block is asked for once in its stretch
+            blocks[block] = cost
+        return blocks[block]
+
+    opened = defaultdict(list)
+    for copies in (_Copies(*x) for x in _repeats(value)):
+        opened[copies.start + copies.fewest * copies.period].append(copies)
+    best, active = [0.0] * (n + 1), []
     for i in range(1, n + 1):
-        best[i] = min([best[i - 1] + _class_bits(value[i - 1]), *(best[j] + cost + 1.0 for j, cost in ends[i])])
+        least = best[i - 1] + _class_bits(value[i - 1])
+        for j, cost in words.get(at + i, ()):
+            if j >= at:
+                least = min(least, best[j - at] + cost + 1.0)
+        for j, cost in ends.get(i, ()):
+            least = min(least, best[j] + cost + 1.0)
+        if i in opened or active:
+            active = [c for c in active + opened.pop(i, []) if c.end >= i]
+            for c in active:
+                least = min(least, c.cheapest(i, best, block_bits))
+        best[i] = least
     return best[n]
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from retailcast.llm import icws, line_dedup, packing, suffix_dedup
+from retailcast.llm import icws, line_dedup, packing, secret_scan, suffix_dedup
 from retailcast.llm.blocks import arrow_rows
 from retailcast.llm.debruijn import dedup_passages
 from retailcast.llm.html_text import extract_main_text, main_text
@@ -300,6 +300,70 @@ def test_repeats_are_priced_as_their_block():
     assert guess_bits("zq#" * 3000) < 40 and guess_bits("k" * 200_000) < 32
 
 
+def _letters(rng: random.Random, n: int) -> str:
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP0123456789") for _ in range(n))
+
+
+def test_blocks_of_any_length_count_as_repeats():
+    rng = random.Random(5)
+    for period, copies in ((900, 2), (6000, 2), (700, 3)):
+        block = _letters(rng, period)
+        assert guess_bits(block * copies) <= guess_bits(block) + math.log2(copies) + 1 + 1e-6
+    # any number of copies from any start, in a long stretch too
+    assert guess_bits("b" * 34 + "abacus") <= guess_bits("b" * 34) + guess_bits("abacus") + 1
+    assert guess_bits("zq#" * 2000 + "zqpassword") <= guess_bits("zq#" * 2000 + "zq") + guess_bits("password") + 1
+    assert guess_bits("x" + "password" * 700 + "word") <= guess_bits("x") + guess_bits("password") + math.log2(700) + 1 + guess_bits("word") + 1
+
+
+def test_repeats_are_all_found():
+    rng = random.Random(6)
+    thue = "a"
+    while len(thue) < 2100:
+        thue += thue.translate(str.maketrans("ab", "ba"))  # different parts of it have one hash modulo 2^64
+    values = [thue[:2100], _letters(rng, 300) * 2 + _letters(rng, 40) * 5, "ab" * 200 + "a" * 90, ("abc" * 7 + "x") * 20]
+    values += ["".join(rng.choice(a) for _ in range(n)) for a in ("ab", "abc") for n in (5, 40, 300, 500)] + ["", "a", "aa"]
+    for v in values:
+        want = set()
+        for p in range(1, len(v) // 2 + 1):
+            start = 0
+            for i in range(p, len(v) + 1):
+                if i == len(v) or v[i] != v[i - p]:
+                    block = v[start:start + p]
+                    if i - start >= 2 * p and (block + block).find(block, 1) == p:
+                        want.add((start, i, p))
+                    start = i - p + 1
+        assert sorted(secret_scan._repeats(v)) == sorted(want)
+
+
+def test_guess_cost_is_the_cheapest_of_all_copies():
+    """Against every start, block and number of copies tried one by one."""
+    ranks = {"password": 1, "word": 4, "abacus": 9, "lion": 30}
+
+    def slow(v: str) -> float:
+        best = [0.0]
+        for i in range(1, len(v) + 1):
+            costs = [best[i - 1] + secret_scan._class_bits(v[i - 1])]
+            for w, rank in ranks.items():
+                if v[:i].endswith(w):
+                    costs.append(best[i - len(w)] + math.log2(rank + 1) + 1)
+            for p in range(1, i // 2 + 1):
+                block = v[i - p:i]
+                if (block + block).find(block, 1) == p:
+                    c, bits = 1, None
+                    while i >= (c + 1) * p and v[i - (c + 1) * p:i - c * p] == block:
+                        c += 1
+                        if c >= 2 + (p == 1):
+                            bits = (secret_scan._class_bits(block) if p == 1 else slow(block)) if bits is None else bits
+                            costs.append(best[i - c * p] + bits + math.log2(c) + 1)
+            best.append(min(costs))
+        return best[-1]
+
+    rng = random.Random(7)
+    for _ in range(150):
+        v = "".join(rng.choice(["password", "word", "abacus", "lion", "b", "a", "wo", "é"]) * rng.choice([1, 1, 1, 2, 3, 34]) for _ in range(rng.randint(1, 4)))
+        assert secret_scan._bits(v, ranks) == pytest.approx(slow(v)), v
+
+
 def test_common_words_keep_their_bound(docs_of):
     words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(20)]
     rows = [(d, " ".join(words[:120 >> d]) + " password: leakedsecretword", "s") for d in range(6)]
