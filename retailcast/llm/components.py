@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .shared import Scratch
 
+ROWS = 1 << 19
+
 
 def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     """(node, label) for every node of ``links(a, b)``; label is the least node of its component.
@@ -14,17 +16,19 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     Each round takes the least label among neighbours (a partial aggregate, so a node with
     very many links costs a task one row) and then the label's own label, which halves the
     distances; rounds end when no label changes.  Every round is written, so a lost executor
-    costs a part of one round.
+    costs a part of one round, by a task for each core at least and each ``ROWS`` links: the rounds
+    are many and their tables small, and a session may deal them to any number of partitions.
     """
     both = scratch.write(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}_graph")
-    labels, round_ = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}_labels_0"), 0
+    tasks = max(scratch.spark.sparkContext.defaultParallelism, -(-both.count() // ROWS))
+    labels, round_ = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")).coalesce(tasks), f"{name}_labels_0"), 0
     while True:
         round_ += 1
         of = labels.select(F.col("node").alias("n"), F.col("label").alias("l"))
         near = both.join(of, F.col("b") == F.col("n")).groupBy("a").agg(F.min("l").alias("near"))
         low = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = low.join(of, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", F.coalesce("l", "label")).alias("label"))
-        new = scratch.write(jump, f"{name}_labels_{round_}")
+        new = scratch.write(jump.coalesce(tasks), f"{name}_labels_{round_}")
         done = new.where(F.col("label") != F.col("old")).isEmpty()
         scratch.drop(labels)
         labels = new.select("node", "label")

@@ -280,8 +280,7 @@ def _similarity(idf, x: Column, y: Column) -> Column:
 
 
 def verified(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, idf, similar: float, name: str) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity is ``similar`` or more."""
-    pairs = scratch.write(pairs.distinct(), f"{name}_pairs")
+    """Of a written table of distinct pairs (a, b) those whose weighted Jaccard similarity is ``similar`` or more."""
     vectors = fetch(scratch, blocks, pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))), _vectors, None, f"{name}_vectors")
     first = vectors.select(F.col("row").alias("x"), F.col("vector").alias("vx"))
     second = vectors.select(F.col("row").alias("y"), F.col("vector").alias("vy"))

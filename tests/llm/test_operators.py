@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from retailcast.llm import icws, line_dedup, packing, secret_scan, suffix_dedup
 from retailcast.llm.blocks import arrow_rows
+from retailcast.llm.components import components
 from retailcast.llm.debruijn import dedup_passages
 from retailcast.llm.html_text import extract_main_text, main_text
 from retailcast.llm.icws import near_duplicates
@@ -20,6 +21,7 @@ from retailcast.llm.line_freq import keep_good_documents, quality_rules
 from retailcast.llm.mixing import mix_sources
 from retailcast.llm.queries import tokenizer_file
 from retailcast.llm.secret_scan import common_words, guess_bits, scan_secrets
+from retailcast.llm.shared import Scratch, settings
 from retailcast.llm.suffix_dedup import dedup_substrings
 from retailcast.llm.va_search import search
 
@@ -179,6 +181,20 @@ def test_near_duplicates(docs_of):
     assert near_duplicates(empty(docs_of)).count() == 0
 
 
+def test_components_of_many_partitions_write_few_files(spark):
+    n, rng = 9, random.Random(8)
+    links = {(i, i + 1) for i in range(n - 1)} | {(100, 100 + i) for i in range(1, 200)} | {tuple(sorted(rng.sample(range(400, 700), 2))) for _ in range(150)}
+    want: dict[int, int] = {x: x for link in links for x in link}
+    for _ in want:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    cores = spark.sparkContext.defaultParallelism
+    with settings(spark, spark__sql__shuffle__partitions=str(2 * cores), spark__sql__adaptive__coalescePartitions__enabled="false"):
+        labels = components(Scratch(spark, "test"), spark.createDataFrame(sorted(links), "a long, b long"), "few")
+        assert {r["node"]: r["label"] for r in labels.collect()} == want
+        assert len(labels.inputFiles()) <= cores
+
+
 def test_classes_are_components_of_similar_texts(docs_of, monkeypatch):
     """Families of copies that differ from each other by more and less than the limit, in chunks of a few rows."""
     monkeypatch.setattr(icws, "CHUNK", 7)
