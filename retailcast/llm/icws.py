@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import BASES, SEEDS, U64, grams_hash, mix, mix_in_place, per_item, prefix, spans_hash, words_hash, words_of
-from .blocks import Block, each_block, output_schema, rows_table, write_blocks
+from .blocks import Block, blocks_size, each_block, output_schema, rows_table, write_blocks
 from .components import components, joined
 from .shared import Scratch
 
@@ -30,6 +30,7 @@ SIMILAR = 0.8
 AGREE = 15  # of BANDS x ROWS samples; at similarity 0.8 fewer agree once in 10,000 times
 CHUNK = 4096
 TOGETHER = 1 << 16
+TASK_BLOCKS = 4
 SIGNATURE = "row long, doc_id long, n_words long, a long, b long, bands array<long>, samples binary"
 
 
@@ -271,12 +272,14 @@ def weighted_jaccard(x: bytes, y: bytes, idf: np.ndarray) -> float:
 
 
 def _similarity(idf, x: Column, y: Column) -> Column:
+    """Weighted Jaccard similarity; marked non-deterministic so that a filter on it does not compute it again, in a second Python worker."""
+
     @F.arrow_udf("double")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
         w = idf.value
         return pa.array([weighted_jaccard(p, q, w) for p, q in zip(a.to_pylist(), b.to_pylist(), strict=True)], type=pa.float64())
 
-    return similar(x, y)
+    return similar.asNondeterministic()(x, y)
 
 
 def verified(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, idf, similar: float, name: str) -> DataFrame:
@@ -369,8 +372,13 @@ def _still_apart(met: DataFrame, known: DataFrame, shared, similar: float, best_
 
 
 def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
-    """(row, doc_id, class): class is the row that stands for the document's group."""
+    """(row, doc_id, class): class is the row that stands for the document's group.
+
+    A task for each core at least and each ``TASK_BLOCKS`` blocks of documents writes a table: many of
+    them are small, and a session may deal them to any number of partitions.
+    """
     spark = scratch.spark
+    scratch.tasks = max(spark.sparkContext.defaultParallelism, -(-blocks_size(blocks)[0] // TASK_BLOCKS))
     counts = frequencies(scratch, blocks)
     n = int(blocks.agg(F.sum("n_rows")).first()[0] or 0)
     idf = spark.sparkContext.broadcast(inverse_frequency(n, counts))

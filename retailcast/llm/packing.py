@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -102,6 +103,12 @@ def _loaded(text: str) -> _Words:
     return kept[key]
 
 
+def forget_words() -> None:
+    """Give up the tokenizers and words that this worker process keeps; they are built again when asked for."""
+    if "tokenizers" in sys.modules:
+        sys.modules["tokenizers"].__dict__.pop("_loaded_by_text", None)
+
+
 def _by_bytes(texts: pa.Array, most: int) -> list[tuple[int, int]]:
     """Ranges of rows whose texts have some ``most`` bytes together (one text at least)."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))

@@ -195,6 +195,39 @@ def test_components_of_many_partitions_write_few_files(spark):
         assert len(labels.inputFiles()) <= cores
 
 
+def test_similarity_of_a_pair_is_computed_once(spark, docs_of, monkeypatch):
+    calls, own = spark.sparkContext.accumulator(0), icws.weighted_jaccard
+
+    def counted(x, y, idf):
+        calls.add(1)
+        return own(x, y, idf)
+
+    monkeypatch.setattr(icws, "weighted_jaccard", counted)
+    scratch, text = Scratch(spark, "test"), " ".join(f"word{i}" for i in range(40))
+    blocks = icws.write_blocks(scratch, docs_of([(i, t, None) for i, t in enumerate([text, text, text + " more", "quite another text of seven words"])]), "doc_id", "text")
+    rows = [(r["block"] << 16) | i for r in blocks.collect() for i in range(r["n_rows"])]
+    pairs = scratch.write(spark.createDataFrame([(a, b) for a in rows for b in rows if a < b], "a long, b long"), "pairs")
+    idf = spark.sparkContext.broadcast(np.ones(1 << icws.FEATURE_BITS, dtype=np.float32))
+    found = icws.verified(scratch, blocks, pairs, idf, 0.8, "once")
+    assert pairs.count() == 6 == calls.value and found.count() == 3
+
+
+def test_near_duplicates_of_many_partitions_write_few_files(spark, docs_of, monkeypatch):
+    files, own = {}, Scratch.write
+
+    def write(self, df, name, *args, **kwargs):
+        out = own(self, df, name, *args, **kwargs)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(Scratch, "write", write)
+    rng, cores = random.Random(4), spark.sparkContext.defaultParallelism
+    texts = [" ".join(rng.choices([f"word{i}" for i in range(300)], k=60)) for _ in range(60)]
+    with settings(spark, spark__sql__shuffle__partitions=str(4 * cores), spark__sql__adaptive__coalescePartitions__enabled="false"):
+        assert near_duplicates(docs_of([(i, t, None) for i, t in enumerate(texts + [t + " more" for t in texts])])).where("keep").count() == 60
+    assert {"texts", "buckets", "star_links", "groups"} <= files.keys() and max(files.values()) <= cores
+
+
 def test_classes_are_components_of_similar_texts(docs_of, monkeypatch):
     """Families of copies that differ from each other by more and less than the limit, in chunks of a few rows."""
     monkeypatch.setattr(icws, "CHUNK", 7)

@@ -2,6 +2,7 @@
 from collections import Counter
 
 import corpus_pipeline as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +69,23 @@ def test_no_documents(spark, documents, tmp_path):
         stage(spark, docs, SF).write.parquet(f"{tmp_path}/{i}")
         docs = spark.read.parquet(f"{tmp_path}/{i}")
     assert docs.count() == 0 and "sequence_id" in docs.columns
+
+
+def test_workers_forget_words_before_a_stage(spark, documents):
+    def look(batches):
+        import sys
+        import time
+        for _ in batches:
+            pass
+        time.sleep(0.1)
+        kept = sys.modules["tokenizers"].__dict__.get("_loaded_by_text") if "tokenizers" in sys.modules else None
+        yield pa.RecordBatch.from_pydict({"words": [sum(len(w.young) + len(w.old) for w in (kept or {}).values())]})
+
+    def most_words():
+        n = 4 * spark.sparkContext.defaultParallelism
+        return spark.range(0, n, 1, n).mapInArrow(look, "words long").agg(F.max("words")).first()[0]
+
+    P.packing(spark, documents, SF).count()
+    assert most_words() > 0
+    P.give_back(spark)
+    assert most_words() == 0
