@@ -19,16 +19,16 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     costs a part of one round, by a task for each core at least and each ``ROWS`` links: the rounds
     are many and their tables small, and a session may deal them to any number of partitions.
     """
-    both = scratch.write(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}_graph")
+    both = scratch.write_few(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}_graph")
     tasks = max(scratch.spark.sparkContext.defaultParallelism, -(-both.count() // ROWS))
-    labels, round_ = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")).coalesce(tasks), f"{name}_labels_0"), 0
+    labels, round_ = scratch.write_few(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}_labels_0", tasks), 0
     while True:
         round_ += 1
         of = labels.select(F.col("node").alias("n"), F.col("label").alias("l"))
         near = both.join(of, F.col("b") == F.col("n")).groupBy("a").agg(F.min("l").alias("near"))
         low = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = low.join(of, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", F.coalesce("l", "label")).alias("label"))
-        new = scratch.write(jump.coalesce(tasks), f"{name}_labels_{round_}")
+        new = scratch.write_few(jump, f"{name}_labels_{round_}", tasks)
         done = new.where(F.col("label") != F.col("old")).isEmpty()
         scratch.drop(labels)
         labels = new.select("node", "label")
@@ -50,4 +50,4 @@ def joined(scratch: Scratch, labels: DataFrame, links: DataFrame, name: str) ->
     between = between.select(F.col("node").alias("old"), F.col("label").alias("new"))
     nodes = labels.unionByName(between.select(F.col("old").alias("node"), F.col("old").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
     merged = nodes.join(between, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label"))
-    return scratch.write(merged, f"{name}_joined")
+    return scratch.write_few(merged, f"{name}_joined")

@@ -288,7 +288,7 @@ def verified(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, idf, similar
     first = vectors.select(F.col("row").alias("x"), F.col("vector").alias("vx"))
     second = vectors.select(F.col("row").alias("y"), F.col("vector").alias("vy"))
     both = pairs.join(second, F.col("b") == F.col("y")).join(first, F.col("a") == F.col("x"))
-    out = scratch.write(both.withColumn("similarity", _similarity(idf, F.col("vx"), F.col("vy"))).where(F.col("similarity") >= similar).select("a", "b", "similarity"), f"{name}_links")
+    out = scratch.write_few(both.withColumn("similarity", _similarity(idf, F.col("vx"), F.col("vy"))).where(F.col("similarity") >= similar).select("a", "b", "similarity"), f"{name}_links")
     scratch.drop(vectors)
     return out
 
@@ -374,8 +374,8 @@ def _still_apart(met: DataFrame, known: DataFrame, shared, similar: float, best_
 def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
     """(row, doc_id, class): class is the row that stands for the document's group.
 
-    A task for each core at least and each ``TASK_BLOCKS`` blocks of documents writes a table: many of
-    them are small, and a session may deal them to any number of partitions.
+    A task for each core at least and each ``TASK_BLOCKS`` blocks of documents writes the small tables:
+    they are many, and a session may deal them to any number of partitions.
     """
     spark = scratch.spark
     scratch.tasks = max(spark.sparkContext.defaultParallelism, -(-blocks_size(blocks)[0] // TASK_BLOCKS))
@@ -390,18 +390,18 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
     # Equal word sequences are one text; its first document (by id, null last) stands for it.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     with_words = signed.where("n_words > 0")
-    texts = scratch.write(with_words.groupBy("a", "b").agg(F.min(order).alias("first")).select("a", "b", F.col("first.row").alias("rep")), "texts")
+    texts = scratch.write_few(with_words.groupBy("a", "b").agg(F.min(order).alias("first")).select("a", "b", F.col("first.row").alias("rep")), "texts")
     signatures = with_words.join(texts.select(F.col("rep").alias("r")), F.col("row") == F.col("r"), "left_semi").select("row", "bands", "samples")
     signatures = scratch.write(signatures, "distinct")
 
     buckets = signatures.select("row", F.posexplode("bands").alias("band", "key"))
     leaders = buckets.groupBy("band", "key").agg(F.min("row").alias("leader"), F.count("*").alias("n")).where("n > 1")
     leaders = leaders.select(F.col("band").alias("of_band"), F.col("key").alias("of_key"), "leader")
-    buckets = scratch.write(buckets.join(leaders, (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key"))).select("band", "key", "row", "leader"), "buckets")
+    buckets = scratch.write_few(buckets.join(leaders, (F.col("band") == F.col("of_band")) & (F.col("key") == F.col("of_key"))).select("band", "key", "row", "leader"), "buckets")
 
-    star = scratch.write(buckets.where("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct(), "star_apart")
+    star = scratch.write_few(buckets.where("row <> leader").select(F.col("leader").alias("a"), F.col("row").alias("b")).distinct(), "star_apart")
     labels = components(scratch, verified(scratch, blocks, star, idf, similar, "star"), "star")
-    met = scratch.write(_open_buckets(buckets, labels), "open")
+    met = scratch.write_few(_open_buckets(buckets, labels), "open")
     rare = fetch(scratch, blocks, met, _prefixes(similar), shared, "rare")
     known = rare.join(signatures.select(F.col("row").alias("s"), "samples", "bands"), F.col("row") == F.col("s")).select("s", "samples", "bands", "vector")
     tried = star
@@ -409,7 +409,7 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
         if not best_only:
             met = _open_buckets(buckets, labels)
         more = _still_apart(met, known, shared, similar, best_only).distinct()
-        more = scratch.write(more.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"), f"{name}_apart")
+        more = scratch.write_few(more.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"), f"{name}_apart")
         found = verified(scratch, blocks, more, idf, similar, name)
         tried = tried.unionByName(more)
         if not found.isEmpty():
@@ -419,7 +419,7 @@ def classify(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
 
 
 def _classes(scratch: Scratch, blocks: DataFrame, similar: float) -> DataFrame:
-    groups = scratch.write(classify(scratch, blocks, similar), "groups")
+    groups = scratch.write_few(classify(scratch, blocks, similar), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     firsts = groups.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("class_size"))
     firsts = firsts.select(F.col("group").alias("g"), F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("first_row"), "class_size")
