@@ -1,8 +1,9 @@
 """Removal of byte strings that repeat across documents, by maximal repeats of suffix arrays.
 
-Only windows whose minimizer more than one document holds can repeat.  The windows of one
-minimizer are a short segment of text; segments go to the shard of their minimizer, so all
-occurrences of a window meet in one shard.  If a minimizer has one and the same segment
+Only windows whose minimizer more than one document holds can repeat, and only with a gram
+(``Pieces`` has which) beside the minimizer that another segment of it has too.  The windows
+of one minimizer are a short segment of text; segments go to the shard of their minimizer, so
+all occurrences of a window meet in one shard.  If a minimizer has one and the same segment
 wherever it stands, that segment is a repeat with all its occurrences, and its hash and
 documents are enough.  Where segments differ, their bytes are sent, and a suffix array over
 the distinct ones and its common-prefix lengths are scanned with a stack: every interval of
@@ -22,9 +23,18 @@ from .arrays import U64, covered, mix, runs_of
 from .blocks import (ASK, Block, answer, blocks_size, each_block, output_schema, output_table, rows_table, shard_bounds, shards_for,
                      with_answers, write_blocks)
 from .repeats import Windows, grouped, number_of
-from .shared import Scratch
+from .shared import Scratch, pow2_at_least
 
 GRAM = 16
+#: A block's texts.  The exchanges have a row for each (block, shard), whose number grows with the
+#: square of the input: blocks and shards are large, so that a row still holds some KB at many GB.
+BLOCK_BYTES = 1 << 22
+#: Texts are cut into windows by runs of documents of so many bytes, whose arrays fit into a processor's cache.
+RUN_BYTES = 1 << 17
+#: Distinct (minimizer, segment) pairs of all blocks in a shard.
+GRAM_ENTRIES = 1_600_000
+#: Bytes of segments in a suffix array; a shard has up to ``PARTS`` of them, at least ``SHARDS`` shards allowing.
+ARRAY_BYTES, PARTS, SHARDS = 1 << 19, 16, 64
 #: A minimizer with more different segments in the blocks than this is hot: its windows are
 #: dealt out one by one, by their own hash, so that no shard has to hold them all.
 HOT_ENTRIES = 1 << 15
@@ -33,6 +43,14 @@ ONE, MIXED, HOT = 1, 2, 3  # repeats with one segment, with different ones, with
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def _span_hash(grams: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of each span, from the grams that cover it (at most 112 bytes)."""
+    out = size.astype(U64)
+    for i in range(0, 7 * GRAM, GRAM):
+        out = mix(out * U64(0xD6E8FEB86659FD93) + grams[start + np.minimum(i, size - GRAM)])
+    return out
+
+
 def byte_grams(text: np.ndarray) -> np.ndarray:
     """Hash of every ``GRAM`` (16) consecutive bytes."""
     n = len(text) - GRAM + 1
@@ -48,24 +66,64 @@ def byte_grams(text: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
+def _runs(offsets: np.ndarray):
+    """Runs of documents of ``RUN_BYTES`` bytes at most (or one document) -> (first, end)."""
+    a, end = 0, len(offsets) - 1
+    while a < end:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + RUN_BYTES, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def _alike(deal: np.ndarray, text_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by the upper 24 bits of ``deal`` in which equal pairs stand together, and the starts of equal pairs in it.
+
+    Pairs are sorted by as many bits of a hash as fit beside their place.  Pairs whose bits agree by chance may
+    be mixed up and start more than once; that makes an entry twice, and never one of two.
+    """
+    place = U64(max(1, (len(deal) - 1).bit_length()))
+    key = mix(deal * U64(0xD6E8FEB86659FD93) ^ text_hash)
+    key >>= U64(24)
+    key |= deal & ~U64((1 << 40) - 1)
+    key >>= place
+    key <<= place
+    key |= np.arange(len(deal), dtype=U64)
+    key.sort()
+    key &= (U64(1) << place) - U64(1)
+    order = key.astype(np.int64)
+    new = np.ones(len(order), dtype=bool)
+    d, t = deal[order], text_hash[order]
+    new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1])
+    return order, np.flatnonzero(new)
+
+
 class Pieces:
-    """A block's windows as segments, one for each run of windows with one minimizer."""
+    """A block's windows as segments, one for each run of windows with one minimizer.
+
+    A window reaches over its minimizer by ``ceil((window - GRAM) / 2)`` bytes or more on one side at least, so it
+    has the gram that lies so far to the left or to the right.  ``left`` and ``right`` are a byte of the hash of
+    those grams, where the segment has them: a segment can have a window in common with another one of its
+    minimizer only if one of the two agrees.
+    """
 
     def __init__(self, block: Block, window: int):
         self.block, self.window = block, window
-        self.grams = byte_grams(block.text)
-        w = self.w = Windows(self.grams, block.offsets, block.known, GRAM, window)
-        self.ids = block.ids[w.doc[w.at]] if len(w.at) else np.zeros(0, np.int64)
-        self.start = w.start[w.first] if len(w.at) else np.zeros(0, np.int64)
-        self.text_hash = self._span_hash(self.start, w.count + window - 1)
-        self.order, self.starts = grouped(w.hash, self.text_hash)
-
-    def _span_hash(self, start, size):
-        """Hash of each span, from the grams that cover it (at most 112 bytes)."""
-        out = size.astype(U64)
-        for i in range(0, 7 * GRAM, GRAM):
-            out = mix(out * U64(0xD6E8FEB86659FD93) + self.grams[start + np.minimum(i, size - GRAM)])
-        return out
+        cut = [self._cut(a, b) for a, b in _runs(block.offsets)]
+        self.hash, self.text_hash, self.left, self.right, self.ids, self.start, self.count = (np.concatenate(x) for x in zip(*cut, strict=True))
+        self.order, self.starts = _alike(self.hash, self.text_hash)
+
+    def _cut(self, a: int, b: int) -> tuple:
+        """Segments of the documents from a to before b: hashes of minimizer, segment and gram to the left and right, document's id, place, windows."""
+        base, end = int(self.block.offsets[a]), int(self.block.offsets[b])
+        grams = byte_grams(self.block.text[base:end])
+        w = Windows(grams, self.block.offsets[a:b + 1] - base, self.block.known[a:b], GRAM, self.window)
+        if not len(w.at):
+            return (*(np.zeros(0, k) for k in (U64, U64, np.uint8, np.uint8, np.int64, np.int64, np.int64)),)
+        start, size, side = w.start[w.first], w.count + self.window - 1, (self.window - GRAM + 1) // 2
+        text_hash = _span_hash(grams, start, size)
+        left = np.where(w.at - side >= start, grams[np.maximum(w.at - side, 0)], text_hash).astype(np.uint8)
+        right = np.where(w.at + side + GRAM <= start + size, grams[np.minimum(w.at + side, len(grams) - 1)], text_hash).astype(np.uint8)
+        return w.hash, text_hash, left, right, self.block.ids[a:b][w.doc[w.at]], start + base, w.count
 
     def ask(self, shards: int, number: int) -> list[tuple]:
         """For each shard the distinct (minimizer, segment) pairs, and whether several documents have them."""
@@ -74,16 +132,17 @@ class Pieces:
         o, s = self.order, self.starts
         ids = self.ids[o]
         more = np.minimum.reduceat(ids, s) != np.maximum.reduceat(ids, s)
-        h, t = self.w.hash[o][s], self.text_hash[o][s]
+        first = o[s]
+        h, t, left, right = self.hash[first], self.text_hash[first], self.left[first], self.right[first]
         at, short, short_t = shard_bounds(h, shards), _short(h, shards), _short(t, 1)
-        return [(i, number, np.int64(b - a).tobytes() + short[a:b].tobytes() + short_t[a:b].tobytes() + np.packbits(more[a:b]).tobytes())
+        return [(i, number, np.int64(b - a).tobytes() + short[a:b].tobytes() + short_t[a:b].tobytes() + left[a:b].tobytes() + right[a:b].tobytes() + np.packbits(more[a:b]).tobytes())
                 for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
 
-    def send(self, payloads: list[bytes], shards: int, number: int) -> list[tuple]:
+    def send(self, payloads: list[bytes], shards: int, parts: int, number: int) -> list[tuple]:
         """Rows of distinct segments for the shards, and one (shard -1) that the block gets back.
 
         A shard's row holds the segments that are alone under their minimizer (hashes and least
-        id), and the bytes of the others.
+        id), and the bytes of the others, in order of the shard's ``parts``.
         """
         kinds = np.zeros(len(self.starts), dtype=np.uint8)
         at = 0
@@ -93,15 +152,16 @@ class Pieces:
             kinds[at:at + size] = bits[:size] + 2 * bits[size:]
             at += size
         assert at == len(kinds), "an answer is missing"
-        kinds, w = kinds[number_of(self.order, self.starts)], self.w
-        one = self._distinct(w.hash, self.text_hash, np.flatnonzero(kinds == ONE), self.start, w.count, self.ids)
-        mixed = np.flatnonzero(kinds == MIXED)
-        single = np.flatnonzero((kinds == HOT)[w.of]) if len(w.start) else np.zeros(0, np.int64)
-        alone = self._span_hash(w.start[single], np.full(len(single), self.window))
-        deal, text_hash = np.concatenate([w.hash[mixed], alone]), np.concatenate([self.text_hash[mixed], alone])
-        start = np.concatenate([self.start[mixed], w.start[single]])
-        count = np.concatenate([w.count[mixed], np.ones(len(single), np.int64)])
-        ids = np.concatenate([self.ids[mixed], self.block.ids[w.doc[start[len(mixed):]]]])
+        kinds = kinds[number_of(self.order, self.starts)]
+        one = self._distinct(self.hash, self.text_hash, np.flatnonzero(kinds == ONE), self.start, self.count, self.ids)
+        mixed, hot = np.flatnonzero(kinds == MIXED), np.flatnonzero(kinds == HOT)
+        of, place = _expand(np.zeros(len(hot), np.int64), self.count[hot] - 1)  # each window of a hot minimizer by itself
+        single, of = self.start[hot][of] + place, hot[of]
+        alone = self._window_hash(single)
+        deal, text_hash = np.concatenate([self.hash[mixed], alone]), np.concatenate([self.text_hash[mixed], alone])
+        start = np.concatenate([self.start[mixed], single])
+        count = np.concatenate([self.count[mixed], np.ones(len(single), np.int64)])
+        ids = np.concatenate([self.ids[mixed], self.ids[of]])
         many = self._distinct(deal, text_hash, np.arange(len(deal)), start, count, ids)
         n = len(one["first"])
         state = b"".join(x.tobytes() for x in (
@@ -111,20 +171,30 @@ class Pieces:
         start, size = many["start"][many["first"]], many["count"][many["first"]] + self.window - 1
         begin = np.concatenate([[0], np.cumsum(size)])
         text = self.block.text[np.repeat(start - begin[:-1], size) + np.arange(begin[-1])]
-        at, at_many = shard_bounds(one["deal"], shards), shard_bounds(many["deal"], shards)
+        at, at_part = shard_bounds(one["deal"], shards), shard_bounds(many["deal"], shards * parts)
+        at_many = at_part[::parts]
         short = _short(one["deal"], shards)
         for i in range(shards):
             a, b, c, d = at[i], at[i + 1], at_many[i], at_many[i + 1]
             if b > a or d > c:
-                out.append((i, number, np.array([b - a, d - c], dtype=np.int64).tobytes() + one["hash"][a:b].tobytes() + one["least"][a:b].tobytes() + many["least"][c:d].tobytes()
+                each = np.diff(at_part[i * parts:(i + 1) * parts + 1]).astype(np.uint32)
+                out.append((i, number, np.array([b - a, d - c], dtype=np.int64).tobytes() + each.tobytes() + one["hash"][a:b].tobytes() + one["least"][a:b].tobytes() + many["least"][c:d].tobytes()
                             + short[a:b].tobytes() + size[c:d].astype(np.uint8).tobytes() + _press(text[begin[c]:begin[d]].tobytes())))
         return out
 
+    def _window_hash(self, start: np.ndarray) -> np.ndarray:
+        out = np.empty(len(start), dtype=U64)
+        for at in range(0, len(start), 1 << 14):
+            part = start[at:at + (1 << 14)]
+            text = self.block.text[part[:, None] + np.arange(self.window)].ravel()
+            out[at:at + len(part)] = _span_hash(byte_grams(text), np.arange(len(part)) * self.window, np.full(len(part), self.window))
+        return out
+
     @staticmethod
     def _distinct(deal, text_hash, which, start, count, ids) -> dict:
         """Distinct ones of the segments ``which``, in order of the hash that deals them."""
         deal, text_hash, ids = deal[which], text_hash[which], ids[which]
-        order, starts = grouped(deal, text_hash)
+        order, starts = _alike(deal, text_hash)
         least = np.minimum.reduceat(ids[order], starts) if len(starts) else ids
         number, first = number_of(order, starts), order[starts]
         return {"deal": deal[first], "hash": text_hash[first], "least": least, "first": first, "number": number, "start": start[which], "count": count[which], "later": ids > least[number] if len(ids) else np.zeros(0, bool)}
@@ -152,29 +222,52 @@ def _wide(short: np.ndarray) -> np.ndarray:
 
 
 def _grams(_, payloads):
-    """Of each (minimizer, segment): does the minimizer repeat, and with which kind of segments."""
+    """Of each (minimizer, segment): can it have a window in common with others, and with which kind of segments."""
     counts = [int(np.frombuffer(p, dtype=np.int64, count=1)[0]) for p in payloads]
     total = sum(counts)
     short, short_t, more, at = np.zeros((total, SHORT), np.uint8), np.zeros((total, SHORT), np.uint8), np.zeros(total, dtype=bool), 0
+    sides = np.zeros((2, total), np.uint8)
     for p, n in zip(payloads, counts, strict=True):
-        short[at:at + n] = np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=8).reshape(n, SHORT)
-        short_t[at:at + n] = np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=8 + SHORT * n).reshape(n, SHORT)
-        more[at:at + n] = np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=8 + 2 * SHORT * n), count=n).astype(bool)
+        got, here = np.frombuffer(p, dtype=np.uint8, offset=8), slice(at, at + n)
+        short[here] = got[:SHORT * n].reshape(n, SHORT)
+        short_t[here] = got[SHORT * n:2 * SHORT * n].reshape(n, SHORT)
+        sides[:, here] = got[2 * SHORT * n:(2 * SHORT + 2) * n].reshape(2, n)
+        more[here] = np.unpackbits(got[(2 * SHORT + 2) * n:], count=n).astype(bool)
         at += n
-    order, starts = grouped(_wide(short))
-    text = _wide(short_t)[order]
-    entries = np.diff(np.append(starts, total))
-    again = (entries > 1) | np.logical_or.reduceat(more[order], starts)
+    order, s = _order(_wide(short) >> U64(64 - 8 * SHORT), 8 * SHORT)
+    new = np.ones(total, dtype=bool)
+    new[1:] = s[1:] != s[:-1]
+    starts, number = np.flatnonzero(new), np.cumsum(new) - 1
+    text, more = _wide(short_t)[order], more[order]
+    again = (np.diff(np.append(starts, total)) > 1) | np.logical_or.reduceat(more, starts)
     same = np.minimum.reduceat(text, starts) == np.maximum.reduceat(text, starts)
-    kind = np.where(~again, 0, np.where(same, ONE, np.where(entries > HOT_ENTRIES, HOT, MIXED))).astype(np.uint8)
-    kind, out, at = kind[number_of(order, starts)], [], 0
+    kind = np.where(again & same, ONE, 0).astype(np.uint8)[number]
+    which = np.flatnonzero((again & ~same)[number])
+    number = number[which]
+    meets = more[which]
+    for side in sides:
+        meets |= _twice(number, side[order[which]])
+    which, number = which[meets], number[meets]
+    kind[which] = np.where(np.bincount(number, minlength=len(starts))[number] > HOT_ENTRIES, HOT, MIXED)
+    kinds, out, at = np.empty(total, dtype=np.uint8), [], 0
+    kinds[order] = kind
     for n in counts:
-        k = kind[at:at + n]
+        k = kinds[at:at + n]
         out.append(np.int64(n).tobytes() + np.packbits(np.concatenate([k & 1, k >> 1])).tobytes())
         at += n
     return out
 
 
+def _twice(number: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """Which items have a byte that another item of their (ascending) number has."""
+    out = np.zeros(len(number), dtype=bool)
+    if len(number):
+        order, s = _order((number.astype(U64) << U64(8)) | byte, int(number[-1]).bit_length() + 8)
+        equal = s[1:] == s[:-1]
+        out[order[1:][equal]] = out[order[:-1][equal]] = True
+    return out
+
+
 def _order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts the keys (of at most ``bits`` bits), and the sorted keys.
 
@@ -189,9 +282,10 @@ def _order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffix_array(symbols: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[np.ndarray, list]:
-    """Positions ``wanted`` sorted by the symbols from there on (0 ends a text), by rank doubling.
+    """Positions ``wanted`` sorted by the ``depth`` symbols from there on (0 ends a text), by rank doubling.
 
-    symbols: 0..256 with ``depth`` zeros at the end -> (sorted positions, ranks at each length).
+    symbols: 0..256 with ``depth`` (7 at least) zeros at the end -> (sorted positions, ranks at each length).  Ranks
+    are doubled for all positions up to a quarter of the depth; the rest is added for the wanted ones alone.
     """
     n = len(symbols) - depth
     used = np.bincount(symbols, minlength=257) > 0
@@ -201,38 +295,50 @@ def suffix_array(symbols: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[n
     length = max(2, min(7, (64 - n.bit_length()) // bits))
     key = np.zeros(n, dtype=U64)
     for i in range(length):
-        key = (key << U64(bits)) | dense[i:i + n]
+        key <<= U64(bits)
+        key |= dense[i:i + n]
     bits *= length
+    half = max(1, n.bit_length())
     levels = []
     while True:
         order, s = _order(key, bits)
         new = np.ones(n, dtype=bool)
         new[1:] = s[1:] != s[:-1]
         rank = np.zeros(len(symbols), dtype=np.int32)
-        rank[order] = np.cumsum(new)
+        rank[order] = np.cumsum(new, dtype=np.int32)
         levels.append((length, rank))
-        if length >= depth or new.all():
+        if 4 * length >= depth or new.all():
             break
-        half = max(1, n.bit_length())
         bits = 2 * half
         key = rank[:n].astype(U64)
         key <<= U64(half)
         after = min(n, len(symbols) - length)
         key[:after] |= rank[length:length + after].astype(U64)
         length *= 2
-    keep = np.zeros(len(symbols), dtype=bool)
-    keep[wanted] = True
-    return order[keep[order]], levels
+    own, done = rank[wanted], length
+    order, last = np.argsort(own, kind="stable"), len(symbols) - 1
+    while done < depth and not new.all():
+        key = own.astype(U64)
+        key <<= U64(half)
+        key |= rank[np.minimum(wanted + done, last)].astype(U64)
+        order, s = _order(key, 2 * half)
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = s[1:] != s[:-1]
+        own = np.empty(len(order), dtype=np.int32)
+        own[order] = np.cumsum(new, dtype=np.int32)
+        done += length
+    return wanted[order], levels
 
 
 def common_prefix(symbols: np.ndarray, levels: list, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the suffixes at a and b, at most ``most``."""
     out, last = np.zeros(len(a), dtype=np.int64), len(symbols) - 1
-    for length, rank in reversed(levels):
-        i, j = np.minimum(a + out, last), np.minimum(b + out, last)
-        out += np.where((rank[i] == rank[j]) & (rank[i] > 0), length, 0)
+    top, deepest = levels[-1][0], int(most.max()) if len(most) else 0
+    for length, rank in [levels[-1]] * (deepest // top - 1) + levels[::-1]:
+        i, j = rank[np.minimum(a + out, last)], rank[np.minimum(b + out, last)]
+        out += np.where((i == j) & (i > 0), length, 0)
     alive = np.ones(len(a), dtype=bool)
-    for _ in range(6):
+    for _ in range(levels[0][0] - 1):
         alive &= symbols[np.minimum(a + out, last)] == symbols[np.minimum(b + out, last)]
         out += alive
     return np.minimum(out, most)
@@ -311,25 +417,27 @@ def _ones(parts: list) -> np.ndarray:
     return least > np.minimum.reduceat(least[order], starts)[number_of(order, starts)] if len(starts) else np.zeros(0, bool)
 
 
-def _mixed(parts: list, window: int) -> np.ndarray:
-    """Per segment a bit for each of its windows: set if the window stands in a smaller document too."""
-    least, size, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+def _mixed(least: np.ndarray, size: np.ndarray, begin: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
+    """Per segment a bit for each of its windows: set if the window stands in a smaller document too.
+
+    The segments are ``size`` bytes of ``text`` from ``begin``.
+    """
     if not len(size):
         return np.zeros(0, U64)
-    size = size.astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(size)])
     most = int(size.max())
     table = np.zeros((len(size), most + 1), dtype=np.uint8)
-    table[np.repeat(np.arange(len(size)), size), np.arange(len(text)) - np.repeat(begin[:-1], size)] = text
+    row, column = _expand(np.zeros(len(size), np.int64), size - 1)
+    table[row, column] = text[begin[row] + column]
     table[:, most] = size
     _, one, number = np.unique(table.view(f"V{most + 1}").ravel(), return_index=True, return_inverse=True)
     owner = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(owner, number, least)
     sizes = size[one]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    own = text[np.repeat(begin[one] - bounds[:-1], sizes) + np.arange(bounds[-1])]
+    row, column = _expand(np.zeros(len(one), np.int64), sizes - 1)
+    own = table[one[row], column]
     position, first, last, length = maximal_repeats(own, bounds, window)
-    doc = owner[np.searchsorted(bounds, position, side="right") - 1]
+    doc = owner[row[position]]
     dup = np.zeros(len(own) + 1, dtype=np.int64)
     total, step = np.cumsum(last - first + 1), 1 << 20  # members of nested repeats, so many at a time
     for part in np.split(np.arange(len(first)), np.searchsorted(total, np.arange(step, total[-1], step))) if len(first) else []:
@@ -344,23 +452,24 @@ def _mixed(parts: list, window: int) -> np.ndarray:
         np.add.at(dup, at + length[part][repeat[later]] - window + 1, -1)
     at = np.flatnonzero(np.cumsum(dup[:-1]) > 0)  # window starts that repeat in a smaller document
     bits = np.zeros(len(one), dtype=U64)
-    s = np.searchsorted(bounds, at, side="right") - 1
-    np.bitwise_or.at(bits, s, U64(1) << (at - bounds[s]).astype(U64))
+    np.bitwise_or.at(bits, row[at], U64(1) << column[at].astype(U64))
     out = bits[number]
     out[least > owner[number]] = ALL  # the same segment in a smaller document
     return out
 
 
-def _segments(window: int):
+def _segments(window: int, parts: int):
     def run(_, payloads):
-        sizes, ones, many = [], [], []
+        sizes, ones, many, each = [], [], [], []
         for p in payloads:
             n, m = np.frombuffer(p, dtype=np.int64, count=2).tolist()
-            at = 16 + 16 * n + 8 * m
+            each.append(np.frombuffer(p, dtype=np.uint32, count=parts, offset=16))
+            begin = 16 + 4 * parts
+            at = begin + 16 * n + 8 * m
             sizes.append((n, m))
-            ones.append((np.frombuffer(p, dtype=U64, count=n, offset=16), np.frombuffer(p, dtype=np.int64, count=n, offset=16 + 8 * n), np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=at).reshape(n, SHORT)))
-            many.append((np.frombuffer(p, dtype=np.int64, count=m, offset=16 + 16 * n), np.frombuffer(p, dtype=np.uint8, count=m, offset=at + SHORT * n), np.frombuffer(_pressed(p[at + SHORT * n + m:]), dtype=np.uint8)))
-        dup, bits, out, a, b = _ones(ones), _mixed(many, window), [], 0, 0
+            ones.append((np.frombuffer(p, dtype=U64, count=n, offset=begin), np.frombuffer(p, dtype=np.int64, count=n, offset=begin + 8 * n), np.frombuffer(p, dtype=np.uint8, count=SHORT * n, offset=at).reshape(n, SHORT)))
+            many.append((np.frombuffer(p, dtype=np.int64, count=m, offset=begin + 16 * n), np.frombuffer(p, dtype=np.uint8, count=m, offset=at + SHORT * n), np.frombuffer(_pressed(p[at + SHORT * n + m:]), dtype=np.uint8)))
+        dup, bits, out, a, b = _ones(ones), _parts(many, np.array(each), window), [], 0, 0
         for n, m in sizes:
             out.append(np.array([n, m], dtype=np.int64).tobytes() + bits[b:b + m].tobytes() + np.packbits(dup[a:a + n]).tobytes())
             a, b = a + n, b + m
@@ -369,6 +478,45 @@ def _segments(window: int):
     return run
 
 
+def _parts(many: list, each: np.ndarray, window: int) -> np.ndarray:
+    """``_mixed`` of a shard's segments, one part of the shard at a time (each: segments by payload and part)."""
+    least, size, text = (np.concatenate(x) for x in zip(*many, strict=True))
+    size = size.astype(np.int64)
+    begin = np.cumsum(size) - size
+    part = np.repeat(np.tile(np.arange(each.shape[1], dtype=np.uint16), len(each)), each.ravel())
+    order, bits = np.argsort(part, kind="stable"), np.zeros(len(size), U64)
+    for which in np.split(order, np.cumsum(each.sum(axis=0))[:-1]):
+        bits[which] = _mixed(least[which], size[which], begin[which], text, window)
+    return bits
+
+
+def _gone(block: Block, payloads: list[bytes], window: int) -> np.ndarray:
+    """Which of a block's bytes are removed, by what it kept for itself (the first payload) and the shards' answers."""
+    n, m = np.frombuffer(payloads[0], dtype=np.int64, count=2).tolist()
+    state = _pressed(payloads[0][16:])
+    size = len(state) // 14
+    start, number, count, later = (np.frombuffer(state, dtype=k, count=size, offset=at * size) for k, at in ((np.int64, 0), (np.uint32, 8), (np.uint8, 12), (bool, 13)))
+    ones, many = [], []
+    for p in payloads[1:]:
+        a, b = np.frombuffer(p, dtype=np.int64, count=2).tolist()
+        many.append(np.frombuffer(p, dtype=U64, count=b, offset=16))
+        ones.append(np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=16 + 8 * b), count=a))
+    bits = np.concatenate([np.where(np.concatenate([*ones, np.zeros(0, np.uint8)]) > 0, ALL, U64(0)), *many])
+    assert len(bits) == n + m, "an answer is missing"
+    mine = np.where(later, ALL, bits[number]) if size else bits
+    segment, offset = _expand(np.zeros(size, np.int64), count.astype(np.int64) - 1)
+    dup = (mine[segment] >> offset.astype(U64)) & U64(1) > 0
+    start = start[segment[dup]] + offset[dup]
+    return covered(len(block.text), start, window)
+
+
+def layout(size: int) -> tuple[int, int, int]:
+    """For so many bytes of text: shards of grams, shards of segments, and the latter's parts with a suffix array each."""
+    arrays = shards_for(size / 4, ARRAY_BYTES, 32)
+    shards = min(arrays, pow2_at_least(arrays / PARTS, SHARDS))
+    return shards_for(size / 18, GRAM_ENTRIES), shards, arrays // shards
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """Remove every byte covered by a ``window``-byte string that also starts in a document of smaller id.
 
@@ -383,34 +531,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         raise ValueError("window must be 20 to 60 bytes")
     docs = docs.drop(*[c for c in docs.columns if c.lower() in {"n_bytes", "n_removed", "n_spans"}])
     scratch = Scratch(docs.sparkSession, "suffix_dedup")
-    blocks = write_blocks(scratch, docs, id_col, text_col)
+    blocks = write_blocks(scratch, docs, id_col, text_col, BLOCK_BYTES)
     _, size = blocks_size(blocks)
-    gram_shards, segment_shards = shards_for(size / 18), shards_for(size / 4, 1 << 19, 32)
+    gram_shards, segment_shards, parts = layout(size)
     asked = each_block(blocks, lambda b, i: Pieces(b, window).ask(gram_shards, i), ASK)
     again = scratch.write(answer(asked, _grams), "gram_answers", batch_rows=8)
-    sent = with_answers(blocks, again, lambda b, i, got: rows_table(Pieces(b, window).send(got, segment_shards, i), ASK), ASK)
+    sent = with_answers(blocks, again, lambda b, i, got: rows_table(Pieces(b, window).send(got, segment_shards, parts, i), ASK), ASK)
     sent = scratch.write(sent, "segments", "uncompressed")
-    both = sent.where("shard < 0").unionByName(answer(sent.where("shard >= 0"), _segments(window)))
+    both = sent.where("shard < 0").unionByName(answer(sent.where("shard >= 0"), _segments(window, parts)))
     schema = output_schema(docs, id_col, text_col, [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")], "binary")
 
     def finish(block: Block, _, payloads: list[bytes]) -> pa.Table:
-        n, m = np.frombuffer(payloads[0], dtype=np.int64, count=2).tolist()
-        state = _pressed(payloads[0][16:])
-        size = len(state) // 14
-        start, number, count, later = (np.frombuffer(state, dtype=k, count=size, offset=at * size) for k, at in ((np.int64, 0), (np.uint32, 8), (np.uint8, 12), (bool, 13)))
-        ones, many = [], []
-        for p in payloads[1:]:
-            a, b = np.frombuffer(p, dtype=np.int64, count=2).tolist()
-            many.append(np.frombuffer(p, dtype=U64, count=b, offset=16))
-            ones.append(np.unpackbits(np.frombuffer(p, dtype=np.uint8, offset=16 + 8 * b), count=a))
-        bits = np.concatenate([np.where(np.concatenate([*ones, np.zeros(0, np.uint8)]) > 0, ALL, U64(0)), *many])
-        assert len(bits) == n + m, "an answer is missing"
-        mine = np.where(later, ALL, bits[number]) if size else bits
-        segment, offset = _expand(np.zeros(size, np.int64), count.astype(np.int64) - 1)
-        dup = (mine[segment] >> offset.astype(U64)) & U64(1) > 0
-        start = start[segment[dup]] + offset[dup]
-        n = len(block.text)
-        gone = covered(n, start, window)
+        gone, n = _gone(block, payloads, window), len(block.text)
         sizes = np.diff(block.offsets)
         total = np.concatenate([[0], np.cumsum(gone)])
         removed = total[block.offsets[1:]] - total[block.offsets[:-1]]

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailcast.llm import icws, line_dedup, packing, secret_scan, suffix_dedup
-from retailcast.llm.blocks import arrow_rows
+from retailcast.llm.blocks import Block, arrow_rows
 from retailcast.llm.components import components
 from retailcast.llm.debruijn import dedup_passages
 from retailcast.llm.html_text import extract_main_text, main_text
@@ -163,6 +163,105 @@ def test_maximal_repeats_are_maximal():
     assert found == {(b"abcabc", 2), (b"abc", 5)}
 
 
+def gone_by_exchange(docs: list[tuple[int, bytes]], per_block: int, window: int, shards: int, parts: int):
+    """op8's steps over blocks of documents without Spark -> (removed bytes of each document, kinds of the segments)."""
+    blocks = []
+    for i in range(0, len(docs), per_block):
+        block, some = object.__new__(Block), docs[i:i + per_block]
+        block.ids, block.known = np.array([d for d, _ in some]), np.ones(len(some), dtype=bool)
+        block.offsets, block.text = np.cumsum([0, *(len(t) for _, t in some)]), np.frombuffer(b"".join(t for _, t in some), np.uint8)
+        blocks.append(block)
+
+    def answered(rows, f):
+        by, out = {}, {}
+        for shard, block, payload in rows:
+            by.setdefault(shard, []).append((block, payload))
+        for shard in sorted(by):
+            for (block, _), got in zip(by[shard], f(None, [p for _, p in by[shard]]), strict=True):
+                out.setdefault(block, []).append(got)
+        return out
+
+    pieces = [suffix_dedup.Pieces(b, window) for b in blocks]
+    kinds = answered([r for i, p in enumerate(pieces) for r in p.ask(shards, i)], suffix_dedup._grams)
+    sent = [r for i, p in enumerate(pieces) for r in p.send(kinds.get(i, []), shards, parts, i)]
+    found = answered([r for r in sent if r[0] >= 0], suffix_dedup._segments(window, parts))
+    own, gone = {i: p for s, i, p in sent if s < 0}, []
+    for i, b in enumerate(blocks):
+        mask = suffix_dedup._gone(b, [own[i], *found.get(i, [])], window)
+        gone += [mask[x:y].tolist() for x, y in zip(b.offsets[:-1], b.offsets[1:], strict=True)]
+    seen = Counter()
+    for p in (p for got in kinds.values() for p in got):
+        bits = np.unpackbits(np.frombuffer(p, np.uint8, offset=8), count=2 * int(np.frombuffer(p, np.int64, count=1)[0]))
+        seen.update((bits[:len(bits) // 2] + 2 * bits[len(bits) // 2:]).tolist())
+    return gone, seen
+
+
+def pieced_texts(rng: random.Random, n: int) -> list[tuple[int, bytes]]:
+    """Documents that share passages, whole and cut, in different surroundings; ids come in any order and some twice."""
+    noise = lambda k: bytes(rng.choices(b"abcdefgh ", k=k))
+    pool = [noise(rng.randrange(20, 150)) for _ in range(12)] + [b"ab" * 60, b"z" * 90]
+    docs = []
+    for _ in range(n):
+        t = b""
+        for _ in range(rng.randrange(0, 6)):
+            p = rng.choice(pool)
+            a = rng.randrange(0, 8)
+            t += noise(rng.randrange(0, 40)) + p[a:len(p) - rng.randrange(0, 8)]
+        docs.append((rng.randrange(n), t))
+    return docs
+
+
+@pytest.mark.parametrize("hot, window, parts", [(1 << 15, 50, 1), (1 << 15, 50, 8), (2, 50, 4), (1 << 15, 20, 4), (3, 60, 2), (1 << 15, 33, 16)])
+def test_suffix_dedup_by_parts_of_shards(monkeypatch, hot, window, parts):
+    monkeypatch.setattr(suffix_dedup, "HOT_ENTRIES", hot)
+    monkeypatch.setattr(suffix_dedup, "RUN_BYTES", 700)
+    docs = pieced_texts(random.Random(window + parts), 90)
+    want = [gone for *_, gone in covered_by_smaller([(d, t, None) for d, t in docs], lambda t: t, window)]
+    got, kinds = gone_by_exchange(docs, 7, window, 4, parts)
+    assert got == want
+    assert kinds[suffix_dedup.MIXED] and (kinds[suffix_dedup.HOT] > 0) == (hot < 10)
+
+
+def test_suffix_dedup_sends_few_rows_for_large_inputs():
+    for size in (10**10, 5 * 10**10):  # 6 and 30 GB of documents
+        grams, segments, parts = suffix_dedup.layout(size)
+        blocks = size / suffix_dedup.BLOCK_BYTES
+        assert min(size / (blocks * grams), size / (blocks * segments)) >= 1024  # bytes of text for each (block, shard)
+        assert size / 4 / (segments * parts) <= suffix_dedup.ARRAY_BYTES
+
+
+def test_minimizers_alike_by_chance_need_no_suffix_array():
+    rng = random.Random(5)
+    noise = lambda k: bytes(rng.choices(range(33, 127), k=k))
+    grams = [noise(16) for _ in range(400)]  # about one in twenty is a minimizer, alone in what its six segments share
+    docs = [(i, b"".join(noise(60) + g for g in grams)) for i in range(6)]
+    got, kinds = gone_by_exchange(docs, 2, 50, 4, 2)
+    assert not any(map(any, got)) and kinds[0] > 4000 and kinds[suffix_dedup.MIXED] < 30 and not kinds[suffix_dedup.ONE]
+
+
+@pytest.mark.parametrize("window, letters", [(20, b"ab"), (50, b"ab"), (50, bytes(range(256))), (60, b"abcdefgh")])
+def test_maximal_repeats_of_many_texts(window, letters):
+    rng = random.Random(window)
+    pool = [bytes(rng.choices(letters, k=rng.randrange(window - 5, 2 * window - 16))) for _ in range(6)]
+    texts = sorted({bytes(rng.choices(letters, k=rng.randrange(8))) + p[rng.randrange(9):] for p in pool for _ in range(8)} | {letters[:1] * (2 * window - 16)})
+    text, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    position, first, last, length = suffix_dedup.maximal_repeats(text, bounds, window)
+    owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    found = {}
+    for a, b, n in zip(first.tolist(), last.tolist(), length.tolist()):
+        at = position[a:b + 1]
+        assert len({bytes(text[p:p + n]) for p in at.tolist()}) == 1
+        found[bytes(text[at[0]:at[0] + n])] = Counter(owner[at].tolist())
+    everywhere = {}
+    for i, t in enumerate(texts):
+        for a in range(len(t)):
+            for b in range(a + window, len(t) + 1):
+                everywhere.setdefault(t[a:b], []).append((i, t[a - 1:a], t[b:b + 1]))
+    alone = lambda sides: len(set(sides)) > 1 or sides[0] == b""
+    want = {x: Counter(i for i, *_ in at) for x, at in everywhere.items() if len(at) > 1 and alone([at[1] for at in at]) and alone([at[2] for at in at])}
+    assert found == want and want
+
+
 def test_near_duplicates(docs_of):
     got = near_duplicates(docs_of(ROWS)).collect()
     assert len(got) == len(ROWS) and sum(r["keep"] for r in got) == len({(r["class_id"], r["class_size"]) for r in got if r["class_size"] > 1}) + sum(r["class_size"] == 1 for r in got)
