@@ -19,7 +19,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .arrays import U64, covered, mix, runs_of
+from .arrays import U64, mix
 from .blocks import (ASK, Block, answer, blocks_size, each_block, output_schema, output_table, rows_table, shard_bounds, shards_for,
                      with_answers, write_blocks)
 from .repeats import Windows, grouped, number_of
@@ -33,8 +33,8 @@ BLOCK_BYTES = 1 << 22
 RUN_BYTES = 1 << 17
 #: Distinct (minimizer, segment) pairs of all blocks in a shard.
 GRAM_ENTRIES = 1_600_000
-#: Bytes of segments in a suffix array; a shard has up to ``PARTS`` of them, at least ``SHARDS`` shards allowing.
-ARRAY_BYTES, PARTS, SHARDS = 1 << 19, 16, 64
+#: Bytes of segments in a suffix array; a shard has up to ``PARTS`` of them, fewer if there would not be ``SHARDS`` shards.
+ARRAY_BYTES, PARTS, SHARDS = 1 << 19, 16, 128
 #: A minimizer with more different segments in the blocks than this is hot: its windows are
 #: dealt out one by one, by their own hash, so that no shard has to hold them all.
 HOT_ENTRIES = 1 << 15
@@ -490,8 +490,11 @@ def _parts(many: list, each: np.ndarray, window: int) -> np.ndarray:
     return bits
 
 
-def _gone(block: Block, payloads: list[bytes], window: int) -> np.ndarray:
-    """Which of a block's bytes are removed, by what it kept for itself (the first payload) and the shards' answers."""
+def _gone(block: Block, payloads: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of a block's bytes that are removed, by what it kept for itself (the first payload) and the shards' answers.
+
+    -> (first, end, document number) of each; runs don't cross documents.
+    """
     n, m = np.frombuffer(payloads[0], dtype=np.int64, count=2).tolist()
     state = _pressed(payloads[0][16:])
     size = len(state) // 14
@@ -504,17 +507,25 @@ def _gone(block: Block, payloads: list[bytes], window: int) -> np.ndarray:
     bits = np.concatenate([np.where(np.concatenate([*ones, np.zeros(0, np.uint8)]) > 0, ALL, U64(0)), *many])
     assert len(bits) == n + m, "an answer is missing"
     mine = np.where(later, ALL, bits[number]) if size else bits
-    segment, offset = _expand(np.zeros(size, np.int64), count.astype(np.int64) - 1)
-    dup = (mine[segment] >> offset.astype(U64)) & U64(1) > 0
-    start = start[segment[dup]] + offset[dup]
-    return covered(len(block.text), start, window)
+    whole, some = np.flatnonzero(mine == ALL), np.flatnonzero((mine != ALL) & (mine > 0))
+    segment, offset = _expand(np.zeros(len(some), np.int64), count[some].astype(np.int64) - 1)
+    dup = (mine[some][segment] >> offset.astype(U64)) & U64(1) > 0
+    single = start[some][segment[dup]] + offset[dup]
+    first = np.concatenate([start[whole], single])
+    order = np.argsort(first)
+    end = np.concatenate([start[whole] + count[whole] - 1, single])[order] + window
+    first = first[order]
+    doc = np.searchsorted(block.offsets, first, side="right") - 1
+    new = np.ones(len(first) + 1, dtype=bool)
+    new[1:-1] = (first[1:] > end[:-1]) | (doc[1:] != doc[:-1])
+    return first[new[:-1]], end[new[1:]], doc[new[:-1]]
 
 
 def layout(size: int) -> tuple[int, int, int]:
     """For so many bytes of text: shards of grams, shards of segments, and the latter's parts with a suffix array each."""
     arrays = shards_for(size / 4, ARRAY_BYTES, 32)
     shards = min(arrays, pow2_at_least(arrays / PARTS, SHARDS))
-    return shards_for(size / 18, GRAM_ENTRIES), shards, arrays // shards
+    return shards_for(size / 18, GRAM_ENTRIES, SHARDS // 2), shards, arrays // shards
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
@@ -542,14 +553,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     schema = output_schema(docs, id_col, text_col, [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")], "binary")
 
     def finish(block: Block, _, payloads: list[bytes]) -> pa.Table:
-        gone, n = _gone(block, payloads, window), len(block.text)
-        sizes = np.diff(block.offsets)
-        total = np.concatenate([[0], np.cumsum(gone)])
-        removed = total[block.offsets[1:]] - total[block.offsets[:-1]]
-        begin, _end = runs_of(gone, block.offsets) if n else (np.zeros(0, int),) * 2
-        spans = np.bincount(np.searchsorted(block.offsets, begin, side="right") - 1, minlength=len(sizes)) if len(begin) else np.zeros(len(sizes), np.int64)
-        kept = block.text[~gone].tobytes()
-        cut = (block.offsets - total[block.offsets]).tolist()
+        begin, end, doc = _gone(block, payloads, window)
+        sizes, n = np.diff(block.offsets), len(block.ids)
+        spans = np.bincount(doc, minlength=n)
+        removed = np.bincount(doc, weights=end - begin, minlength=n).astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(removed)])
+        raw = block.text.tobytes()
+        kept = b"".join(raw[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(raw)], strict=True))
+        cut = (block.offsets - total).tolist()
         texts = pa.array([kept[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], type=pa.binary())
         return output_table(block, text_col, texts, {"n_bytes": sizes.astype(np.int64), "n_removed": removed.astype(np.int64), "n_spans": spans.astype(np.int64)})
 

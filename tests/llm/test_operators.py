@@ -187,7 +187,9 @@ def gone_by_exchange(docs: list[tuple[int, bytes]], per_block: int, window: int,
     found = answered([r for r in sent if r[0] >= 0], suffix_dedup._segments(window, parts))
     own, gone = {i: p for s, i, p in sent if s < 0}, []
     for i, b in enumerate(blocks):
-        mask = suffix_dedup._gone(b, [own[i], *found.get(i, [])], window)
+        mask = np.zeros(len(b.text), dtype=bool)
+        for x, y, _ in zip(*suffix_dedup._gone(b, [own[i], *found.get(i, [])], window), strict=True):
+            mask[x:y] = True
         gone += [mask[x:y].tolist() for x, y in zip(b.offsets[:-1], b.offsets[1:], strict=True)]
     seen = Counter()
     for p in (p for got in kinds.values() for p in got):
