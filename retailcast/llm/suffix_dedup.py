@@ -523,7 +523,7 @@ def _gone(block: Block, payloads: list[bytes], window: int) -> tuple[np.ndarray,
 
 def layout(size: int) -> tuple[int, int, int]:
     """For so many bytes of text: shards of grams, shards of segments, and the latter's parts with a suffix array each."""
-    arrays = shards_for(size / 4, ARRAY_BYTES, 32)
+    arrays = min(shards_for(size / 4, ARRAY_BYTES, 32), 1 << 24)  # ``_alike`` orders by so many bits
     shards = min(arrays, pow2_at_least(arrays / PARTS, SHARDS))
     return shards_for(size / 18, GRAM_ENTRIES, SHARDS // 2), shards, arrays // shards
 
